@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from jurispark.llm.common import table
 from jurispark.llm.mixing import MIX_SQL, mix
+from jurispark.llm.secrets import digest, find_secrets
+from jurispark.llm.tokens import count_tokens
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,3 +27,16 @@ def query(name: str, sql: str | None = None):
 @query("op1_mix", MIX_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+@query("op7_secrets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", *digest(found))
+
+
+@query("op8_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
