@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jurispark.llm.common import table
+from jurispark.llm.decontamination import find_contamination, summarise
+from jurispark.llm.fingerprints import edited_fingerprints
 from jurispark.llm.mixing import MIX_SQL, mix
 from jurispark.llm.secrets import digest, find_secrets
 from jurispark.llm.tokens import count_tokens
@@ -40,3 +42,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op2_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarise(find_contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")))
