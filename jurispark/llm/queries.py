@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import table
+from jurispark.llm.common import cut, table
 from jurispark.llm.decontamination import find_contamination, summarise
 from jurispark.llm.fingerprints import edited_fingerprints
+from jurispark.llm.licenses import scan_licenses
 from jurispark.llm.mixing import MIX_SQL, mix
 from jurispark.llm.secrets import digest, find_secrets
 from jurispark.llm.tokens import count_tokens
+from jurispark.llm.warc import WARC_SQL, archive_path, delete, read_warc, write_warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -52,3 +54,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise(find_contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")))
+
+
+@query("op3_licenses")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
+
+
+@query("op6_warc", WARC_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = archive_path(spark)
+    write_warc(table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    found = cut(read_warc(spark, path, payloads=False).drop("payload"))
+    delete(spark, path)
+    return found.withColumnRenamed("page", "page_id")
