@@ -12,6 +12,7 @@ from jurispark.llm.licenses import scan_licenses
 from jurispark.llm.mixing import MIX_SQL, mix
 from jurispark.llm.secrets import digest, find_secrets
 from jurispark.llm.tokens import count_tokens
+from jurispark.llm.toxicity import held_out, score_toxicity
 from jurispark.llm.warc import WARC_SQL, archive_path, delete, read_warc, write_warc
 
 QUERIES: dict = {}
@@ -68,3 +69,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cut(read_warc(spark, path, payloads=False).drop("payload"))
     delete(spark, path)
     return found.withColumnRenamed("page", "page_id")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
