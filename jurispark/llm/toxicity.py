@@ -20,6 +20,8 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
 #: Labelled rows of each class that the classifier is fitted on, at most, and features that it may use.
 SAMPLE, FEATURES = 4000, 3000
+#: Twice the log-likelihood that a feature must gain: rare ones that fit by chance stay out.
+GAIN = 16.0
 #: Look-alikes and invisible characters. Fixed values.
 FOLD = {**dict(zip(map(ord, "авеіјкмнорстух"), "abeijkmhopctyx", strict=True)), **dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])}
 
@@ -199,8 +201,12 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         names = [*(seen[0] | seen[1])]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([seen[k][n] for n in names], pa.int64()) for k in (0, 1))], names=["name", "n0", "n1"])
 
-    odds = F.log((F.col("n1") + 0.5) / (F.col("n0") + 0.5))
-    best = rows.mapInArrow(tally, "name string, n0 long, n1 long").groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n0 + n1 >= 5").orderBy(F.desc(F.abs(odds) * F.sqrt(F.col("n0") + F.col("n1"))), "name").limit(FEATURES)
+    sizes = {r["__label"]: r["count"] for r in rows.groupBy("__label").count().collect()}
+    total = [sizes.get(k, 0) for k in (0, 1)]
+    # gain: how much likelier the counts are with a rate for each class than with one rate
+    rate = (F.col("n0") + F.col("n1")) / max(1, sum(total))
+    gain = sum((2 * F.when(seen > 0, seen * F.log(seen / (n * share))).otherwise(0.0) for n, c in zip(total, ("n0", "n1"), strict=True) if n for seen, share in ((F.col(c), rate), (F.lit(n) - F.col(c), 1 - rate))), F.lit(0.0))
+    best = rows.mapInArrow(tally, "name string, n0 long, n1 long").groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("gain", gain).where(F.col("gain") >= GAIN).orderBy(F.desc("gain"), "name").limit(FEATURES)
     model = Model([r.name for r in best.collect()])
 
     def present(batches):
