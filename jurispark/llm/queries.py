@@ -10,6 +10,7 @@ from jurispark.llm.decontamination import find_contamination, summarise
 from jurispark.llm.fingerprints import edited_fingerprints
 from jurispark.llm.licenses import scan_licenses
 from jurispark.llm.mixing import MIX_SQL, mix
+from jurispark.llm.ngram_join import near_groups
 from jurispark.llm.secrets import digest, find_secrets
 from jurispark.llm.tokens import count_tokens
 from jurispark.llm.toxicity import held_out, score_toxicity
@@ -75,3 +76,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op5_ngram_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
