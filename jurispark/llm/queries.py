@@ -12,6 +12,7 @@ from jurispark.llm.licenses import scan_licenses
 from jurispark.llm.mixing import MIX_SQL, mix
 from jurispark.llm.ngram_join import near_groups
 from jurispark.llm.secrets import digest, find_secrets
+from jurispark.llm.substrings import dedup_substrings
 from jurispark.llm.tokens import count_tokens
 from jurispark.llm.toxicity import held_out, score_toxicity
 from jurispark.llm.warc import WARC_SQL, archive_path, delete, read_warc, write_warc
@@ -81,3 +82,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_ngram_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
