@@ -100,3 +100,17 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY band, run,
 SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken
 FROM (SELECT *, CAST(floor(rate * rank + off) - floor(rate * (rank - 1) + off) AS BIGINT) AS copies FROM placed)
 """
+
+
+def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The documents that the mix takes, with all their columns, once for each copy; ``copy`` numbers these from 1.
+
+    Rows that agree in id, source and size take their copies in the order of their texts.
+    """
+    keys = [id_col, source_col, "__size"]
+    mixed = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).withColumnRenamed("size", "__size")
+    mixed = emit(mixed.withColumn("__place", F.row_number().over(Window.partitionBy(*keys).orderBy("copies"))).where("copies > 0"))
+    placed = docs.drop("copy").withColumn("__size", word_count(F.col(text_col)))
+    placed = placed.withColumn("__place", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(text_col).asc_nulls_first())))
+    same = " AND ".join(f"d.`{k}` <=> m.`{k}`" for k in [*keys, "__place"])
+    return placed.alias("d").join(mixed.alias("m"), F.expr(same)).select(*[F.col(f"d.`{c}`") for c in docs.columns if c != "copy"], F.col("m.copy"))
