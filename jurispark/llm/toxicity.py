@@ -33,6 +33,7 @@ REPEATED = re.compile(rf"{_L}*?({_L})\1\1{_L}*")
 SPACED = re.compile(rf"(?<![^\W_])(?:(?:{_L}|[{_S}])[ ._*-]){{2,}}(?:{_L}|[{_S}])(?![^\W_])")
 SUSPECT = re.compile(rf"{_L}[{_S}]|[{_S}]{_L}|({_L})\1\1|(?<![^\W_])\w[ ._*-]\w[ ._*-]\w(?![^\W_])")
 WORD = re.compile(rf"{_L}+")
+APART = re.compile(rb"(?<!\S)(?:[\x21-\x7e]|[\xc3-\xd1][\x80-\xbf]) (?:[\x21-\x7e]|[\xc3-\xd1][\x80-\xbf]) (?:[\x21-\x7e]|[\xc3-\xd1][\x80-\xbf])(?!\S)")
 SYMBOLS = len(LETTERS) + 1
 _CODES = np.zeros(0x250, np.uint8)
 _CODES[[ord(c) for c in LETTERS]] = np.arange(1, SYMBOLS)
@@ -99,37 +100,50 @@ class Decoder:
 
 
 class Reader:
-    """Restored words of a text: its plain words, and readings of those that look obfuscated."""
+    """Restored words of a text: its plain words, and readings of those that look obfuscated.
+
+    Words are read one by one and by kind, so that each is decoded once; only letters apart need the whole text.
+    """
 
     def __init__(self, counts: np.ndarray):
-        self.decode, self.known = Decoder(counts), {}
-
-    def readings(self, word: str) -> list[str]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            once = re.sub(r"(.)\1+", r"\1", self.decode(word))
-            found = self.known[word] = [self.decode(word), once]
-        return found
-
-    def __call__(self, text: str) -> set[str]:
+        self.decode = Decoder(counts)
+
+    def readings(self, word: str) -> set[str]:
+        """The likeliest reading, and the same with every letter once."""
+        best = self.decode(word)
+        return {best, re.sub(r"(.)\1+", r"\1", best)}
+
+    def spaced(self, text: str) -> set[str]:
+        out = set()
+        for m in SPACED.finditer(text):
+            for reading in self.readings(m[0][::2]):
+                out.update(reading[i : i + n] for n in range(4, min(12, len(reading)) + 1) for i in range(len(reading) - n + 1))
+                out.add(reading)
+        return out
+
+    def piece(self, piece: bytes) -> set[str]:
+        """Words of a stretch without white space."""
+        text = piece.decode("utf-8", "replace")
         if not text.isascii():
-            text = unicodedata.normalize("NFKC", text).translate(FOLD)
-        text = text.lower()
+            text = unicodedata.normalize("NFKC", text).translate(FOLD).lower()
         words = set(WORD.findall(text))
         if SUSPECT.search(text):
             for m in MIXED.finditer(text):
-                for reading in self.readings(m[0].strip("!")) if m[0].strip("!") not in words else ():
-                    words.add(reading)
+                if (found := m[0].strip("!")) not in words:
+                    words |= self.readings(found)
             for m in REPEATED.finditer(text):
-                words.update(self.readings(m[0]))
-            for m in SPACED.finditer(text):
-                for reading in self.readings(m[0][::2]):
-                    words.update(reading[i : i + n] for n in range(4, min(12, len(reading)) + 1) for i in range(len(reading) - n + 1))
-                    words.add(reading)
+                words |= self.readings(m[0])
+            words |= self.spaced(text)
         return words
 
+    def apart(self, text: bytes) -> set[str]:
+        """Words of letters that spaces keep apart."""
+        return self.spaced(unicodedata.normalize("NFKC", text.decode("utf-8", "replace")).translate(FOLD).lower()) if APART.search(text) else set()
+
+    def __call__(self, text: bytes | None) -> set[str]:
+        text = (text or b"").lower()
+        return self.apart(text).union(*map(self.piece, set(text.split())))
+
 
 def features(word: str) -> tuple[str, ...]:
     return (word, *(f"{word[:n]}-" for n in (4, 5, 6) if len(word) > n))
@@ -142,14 +156,21 @@ class Model:
         self.names, self.weights, self.bias = {n: i for i, n in enumerate(names)}, np.zeros(len(names)), 0.0
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def found(self, words: set[str]) -> set[int]:
-        if len(self.known) > 400_000:
+    def ids(self, words) -> tuple[int, ...]:
+        return tuple({self.names[f] for w in words for f in features(w) if f in self.names})
+
+    def found(self, text: bytes | None, read: Reader) -> set[int]:
+        """The features of a text. What a stretch of it holds is remembered, within bounds."""
+        if len(self.known) > 250_000:
             self.known.clear()
-        known, out = self.known, set()
-        for w in words:
-            ids = known.get(w)
+        text = (text or b"").lower()
+        known, out = self.known, set(self.ids(read.apart(text)))
+        for piece in set(text.split()):
+            ids = known.get(piece)
             if ids is None:
-                ids = known[w] = tuple(self.names[f] for f in features(w) if f in self.names)
+                ids = self.ids(read.piece(piece))
+                if len(piece) <= 64:
+                    known[piece] = ids
             if ids:
                 out.update(ids)
         return out
@@ -170,8 +191,8 @@ class Model:
         odds = lambda p: math.log(p / (1 - p))
         self.weights, self.bias = w[:-1], float(w[-1]) + odds(min(max(prior, 1e-3), 1 - 1e-3)) - odds(share)
 
-    def score(self, words: set[str]) -> float:
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.bias + float(sum(self.weights[i] for i in self.found(words)))))))
+    def score(self, text: bytes | None, read: Reader) -> float:
+        return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.bias + float(sum(self.weights[i] for i in sorted(self.found(text, read))))))))
 
 
 def held_out(id_col):
@@ -197,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         read, seen = Reader(counts), (Counter(), Counter())
         for batch in batches:
             for t, y in zip(raw(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                seen[y].update({f for w in read((t or b"").decode("utf-8", "replace")) for f in features(w)})
+                seen[y].update({f for w in read(t) for f in features(w)})
         names = [*(seen[0] | seen[1])]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([seen[k][n] for n in names], pa.int64()) for k in (0, 1))], names=["name", "n0", "n1"])
 
@@ -212,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     def present(batches):
         read = Reader(counts)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(model.found(read((t or b"").decode("utf-8", "replace")))) for t in raw(batch.column(0))], pa.list_(pa.int64())), batch.column(1).cast(pa.int64())], names=["found", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(model.found(t, read)) for t in raw(batch.column(0))], pa.list_(pa.int64())), batch.column(1).cast(pa.int64())], names=["found", "label"])
 
     seen = sorted(((r.found, r.label) for r in rows.mapInArrow(present, "found array<long>, label long").collect()), key=lambda r: (r[1], r[0]))  # at most 2 * sample rows
     model.known = {}
@@ -241,7 +262,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     def run(batches):
         read = Reader(counts)
         for batch in batches:
-            scores = [model.score(read((t or b"").decode("utf-8", "replace"))) for t in raw(batch.column(at))]
+            scores = [model.score(t, read) for t in raw(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=[*batch.schema.names, "score", "predicted"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
