@@ -1,5 +1,6 @@
 """Imports every module that registers queries."""
 
+from jurispark.plans import court, wiki  # noqa: F401
 from jurispark.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
