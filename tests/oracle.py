@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 
 
 def rows(sql: str, folder: str):
@@ -19,7 +20,7 @@ def plain(df):
     df = df[sorted(df.columns)]
 
     def said(v):
-        if v is None or v != v:
+        if not isinstance(v, list | dict) and pd.isna(v):
             return "null"
         return f"{float(v):.9g}" if isinstance(v, int | float) or hasattr(v, "dtype") else str(v)
 
