@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jurispark.functions.chars import HAN, MARKERS, PARTY, SPACE
 from jurispark.functions.metadata import case_number, case_title, court_name, doc_type
-from jurispark.functions.text import let, masked_runs, or_empty, rstrip, same_lines, strip, templates_to_crosses
+from jurispark.functions.text import let, masked_runs, or_empty, rstrip, same_lines, strip, templates_to_crosses, title_score
 
 #: Template names in lower case, and the category of redirects. Fixed values.
 HEADER, DISAMBIGUATION, LEGACY = "{{header/裁判文书", "{{裁判文书消歧义页", "{{versions"
@@ -313,3 +313,57 @@ def failure_kind(message: Column, header_error: str = "could not extract {{heade
     said = F.lower(or_empty(message))
     has = lambda *t: said.rlike("|".join(t))
     return F.when(F.contains(said, F.lit(header_error.lower())), "existing_header_metadata").when(has("court mismatch"), "court_mismatch").when(has("title is too long", "illegal", "invalid title", "bad title"), "title").otherwise("generic")
+
+
+# Titles and single edits.
+
+
+def court_of_title(title: Column) -> Column:
+    """The court in front of a case number; null without one."""
+    court = strip(F.regexp_extract(or_empty(title), r"^(.*?法院)[（(]", 1))
+    return F.when(court != "", court)
+
+
+def type_of_title(title: Column) -> Column:
+    """What stands behind the last 号; null without one."""
+    kind = strip(F.regexp_extract(or_empty(title), "^.*号(.*)$", 1))
+    return F.when(kind != "", kind)
+
+
+def redact_selection(text: Column) -> Column:
+    """The template that hides a selection officially, by its length in code points."""
+    return F.concat(F.lit("{{PRC-redact|"), F.length(text).cast("string"), F.lit("|os=yes}}"))
+
+
+def page_url(title: Column, base: str) -> Column:
+    """A page's address: spaces as underscores, everything but letters, digits and ``_.-~/:`` by its bytes."""
+    encoded = F.url_encode(F.replace(or_empty(title), F.lit(" "), F.lit("_")))
+    for a, b in (("*", "%2A"), ("%7E", "~"), ("%2F", "/"), ("%3A", ":")):
+        encoded = F.replace(encoded, F.lit(a), F.lit(b))
+    return F.concat(F.lit(base), encoded)
+
+
+def page_link(title: Column, label: Column | None = None) -> Column:
+    same = F.concat(F.lit("[["), title, F.lit("]]"))
+    return same if label is None else F.when(label == title, same).otherwise(F.concat(F.lit("[["), title, F.lit("|"), label, F.lit("]]")))
+
+
+def alternate_title(current: Column, other: Column) -> Column:
+    """Two titles of one page, the one with less masked first; equal ones are one."""
+    pair = lambda a, b: F.concat(F.lit("{{另|"), a, F.lit("|"), b, F.lit("}}"))
+    return F.when((or_empty(other) == "") | (current == other), current).when(title_score(other) < title_score(current), pair(other, current)).otherwise(pair(current, other))
+
+
+def bullet(title: Column) -> Column:
+    return F.concat(F.lit("* [["), title, F.lit("]]"))
+
+
+def court_section(court: Column, title: Column) -> Column:
+    """What a list of several courts gets for a new court."""
+    return F.concat(F.lit("=="), court, F.lit("==\n[[Category:"), court, F.lit("]]\n"), bullet(title))
+
+
+def redirect_to_list(text: Column, title: Column) -> Column:
+    """A redirect as a disambiguation page with its target as the only entry; null where no court or type is told."""
+    target = redirect_target(text)
+    return F.when(court_of_title(target).isNotNull() & type_of_title(target).isNotNull(), versions_page(title, court_of_title(target), F.array(target), type_of_title(target)))

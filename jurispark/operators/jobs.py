@@ -14,6 +14,7 @@ from jurispark.functions import pages as P
 from jurispark.functions import plain
 from jurispark.functions import text as T
 from jurispark.functions import wiki as W
+from jurispark.functions.chars import CITIES
 from jurispark.operators.relational import anti_dedupe, first_tag, ordered_distinct, positional_join, union_ragged
 
 
@@ -216,3 +217,25 @@ def unified_diff(df: DataFrame, before: str, after: str, key: str) -> DataFrame:
         return k, "" if a == b else "\n".join(difflib.unified_diff(a.split("\n"), b.split("\n"), "before", "after", lineterm=""))
 
     return _texts(df, rule, f"{key} string, diff string", [key, before, after])
+
+
+def rescued_drafts(revisions: DataFrame, *, prefix: str = "Imported from 裁判文书网") -> DataFrame:
+    """revisions: title, revid, parentid, comment, text. Imports that stand in a page's history under an id other than the
+    page's, the first of each id, as drafts of the upload plan: its walk then gives each a page of its own and lists them."""
+    rows = revisions.withColumn("docid", T.or_empty(W.header(F.col("text"))["docid"]))
+    current = rows.groupBy("title").agg(F.max_by("docid", "revid").alias("own"))
+    found = rows.where(F.startswith("comment", F.lit(prefix)) & (F.col("parentid") != 0) & (F.col("docid") != "")).join(current, "title").where("docid <> own")
+    first = found.groupBy("title", "docid").agg(F.min_by(F.struct("revid", "text"), F.col("revid")).alias("r"))
+    return first.select(F.col("r.revid").alias("ordinal"), "title", F.col("docid").alias("wenshu_id"), F.col("r.text").alias("wikitext"))
+
+
+def infer_from_text(pages: DataFrame, *, cities=CITIES) -> DataFrame:
+    """Court, case number, type, date and place of pages without header, from the start of their visible text: the court
+    and number from 2000 characters, the type from 1000, the date from the last date there is."""
+    shown = F.regexp_replace(F.regexp_replace(T.or_empty(F.col("content")), r"\{\{[^{}]*\}\}|<[^<>]*>|'''?", ""), r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1")
+    rows = pages.withColumn("shown", shown).withColumn("head", F.substring("shown", 1, 2000))
+    rows = rows.withColumn("court", M.court_name(F.regexp_extract("head", r"([一-鿿]{2,30}?法院)", 1))).withColumn("case_number", M.case_number(F.regexp_extract("head", r"([（(]\d{4}[）)][^。，；\n]{1,30}?号)", 1)))
+    rows = rows.withColumn("doc_type", F.regexp_extract(F.substring("shown", 1, 1000), r"([一-鿿]{0,8}(?:裁定书|判决书|决定书|通知书|调解书))", 1))
+    dates = F.regexp_extract_all("shown", F.lit(r"([〇零一二三四五六七八九]{4}年[一二三四五六七八九十]+月[一二三四五六七八九十]+日|\d{4}年\d{1,2}月\d{1,2}日)"), F.lit(1))
+    rows = rows.withColumn("date", M.date_of_text(F.when(F.size(dates) > 0, F.element_at(dates, -1))))
+    return rows.withColumn("place", M.location(F.col("court"), cities)).drop("shown", "head")

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from jurispark.functions import wiki as W
 from jurispark.operators import jobs as J
 from jurispark.operators import relational as R
 from jurispark.operators.graph import groups
@@ -57,3 +58,23 @@ def test_diff_and_cleaning(spark):
     found = {r.k: r.diff for r in J.unified_diff(df, "x", "y", "k").collect()}
     assert found["l"] == "" and "-b\n+c" in found["k"]
     assert J.strip_invisible(spark.createDataFrame([("t", "a​b"), ("u", "ab")], "title string, content string")).collect()[0].fixed == "ab"
+
+
+def test_titles_and_edits(spark):
+    one = lambda c: spark.range(1).select(c).first()[0]
+    title = F.lit("甲法院（2024）1号 民事判决书")
+    assert one(W.court_of_title(title)) == "甲法院" and one(W.type_of_title(title)) == "民事判决书" and one(W.court_of_title(F.lit("x"))) is None
+    assert one(W.redact_selection(F.lit("😀a"))) == "{{PRC-redact|2|os=yes}}"
+    assert one(W.page_url(F.lit("a b/c:d*~（"), "w/")) == "w/a_b/c:d%2A~%EF%BC%88"
+    assert one(W.alternate_title(F.lit("张某"), F.lit("张三"))) == "{{另|张三|张某}}" and one(W.alternate_title(F.lit("a"), F.lit("a"))) == "a"
+    assert "* [[甲法院（2024）1号判决书]]" in one(W.redirect_to_list(F.lit("#REDIRECT [[甲法院（2024）1号判决书]]"), F.lit("t")))
+
+
+def test_rescue_and_inference(spark):
+    page = lambda d: "{{Header/裁判文书\n|docid = %s\n}}\n" % d
+    rows = [("t", 1, 0, "Imported from 裁判文书网", page("a")), ("t", 2, 1, "Imported from 裁判文书网", page("b")), ("t", 3, 2, "Imported from 裁判文书网", page("b")), ("t", 4, 3, "edit", page("c"))]
+    found = J.rescued_drafts(spark.createDataFrame(rows, "title string, revid long, parentid long, comment string, text string")).collect()
+    assert [(r.ordinal, r.wenshu_id) for r in found] == [(2, "b")]
+    text = "{{x}}北京市第一中级人民法院\n民事判决书\n（2024）京01民初1号\n正文。\n二〇二四年九月二十八日"
+    r = J.infer_from_text(spark.createDataFrame([("t", text)], "title string, content string")).first()
+    assert (r.court, r.doc_type, r.case_number, r.date.month, r.place) == ("北京市第一中级人民法院", "民事判决书", "（2024）京01民初1号", "9", "北京市")
