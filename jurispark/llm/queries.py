@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import cut, table
+from jurispark.llm.common import cut, delete, table
 from jurispark.llm.decontamination import find_contamination, summarise
 from jurispark.llm.fingerprints import edited_fingerprints
 from jurispark.llm.licenses import scan_licenses
@@ -15,7 +15,7 @@ from jurispark.llm.secrets import digest, find_secrets
 from jurispark.llm.substrings import dedup_substrings
 from jurispark.llm.tokens import count_tokens
 from jurispark.llm.toxicity import held_out, score_toxicity
-from jurispark.llm.warc import WARC_SQL, archive_path, delete, read_warc, write_warc
+from jurispark.llm.warc import WARC_SQL, archive_path, read_warc, write_warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

@@ -197,11 +197,6 @@ def archive_path(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 #: What the archives of all pages hold, in DuckDB.
 WARC_SQL = """
 SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM leader THEN 'revisit' ELSE 'response' END AS record_type,
