@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -16,8 +18,37 @@ ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+#: Rows of an Arrow batch: texts may be long, and a worker holds a batch several times over.
+BATCH_ROWS = 2000
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session has a setting of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def lean(run):
+    """A batch function that gives its memory back at the end of a task: idle workers are kept for later tasks."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. In local mode without one, a temporary folder."""
+    lean_batches(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,6 +88,7 @@ def scratch(spark: SparkSession):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    lean_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns or ["*"])
 
 

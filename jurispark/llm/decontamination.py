@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import alnum_words, cut, raw
+from jurispark.llm.common import alnum_words, cut, lean, raw
 
 #: Words of a window; words of text in one suffix array; bytes of test text that one pass holds.
 WINDOW, SHARD_WORDS, BLOCK_BYTES = 10, 2_000_000, 1_000_000
@@ -201,7 +201,7 @@ def _search(docs: DataFrame, tests: Tests, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[*batch.schema.names, "n_words", "spans", "items", "longest"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, {HITS}")
+    return docs.mapInArrow(lean(run), f"{fields}, {HITS}")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

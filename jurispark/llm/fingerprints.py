@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import cut, partitions, raw
+from jurispark.llm.common import cut, lean, partitions, raw
 
 
 def canonical(text: str) -> bytes:
@@ -63,7 +63,7 @@ def fingerprint(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(map(digest, canon)), pa.array([hashlib.sha256(c).hexdigest() for c in canon]), pa.array(map(pack.compress, canon), pa.binary())], names=[id_col, "n_chars", "digest", "second", "canon"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_chars long, digest string, second string, canon binary")
+    rows = docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, n_chars long, digest string, second string, canon binary")
     shared = rows.groupBy("digest").count().where("count > 1").select("digest")
     colliding = _colliding(rows.join(shared, "digest", "left_semi"))
     return _named(rows.drop("canon"), colliding, {"fingerprint": ("digest", "second")}).select(id_col, "n_chars", "fingerprint")
@@ -95,7 +95,7 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
             plain = [t.decode("utf-8", "replace") for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(xxhash.xxh3_128_digest, texts), pa.binary()), pa.array([len(t) for t in plain], pa.int64()), pa.array([digest(canonical(t)) for t in plain])], names=["id", "h", "n_chars", "digest"])
 
-    thin = cut(docs.mapInArrow(scan, "id long, h binary, n_chars long, digest string"))
+    thin = cut(docs.mapInArrow(lean(scan), "id long, h binary, n_chars long, digest string"))
     blocks = 4 * partitions(spark)
     splits = np.unique(np.array(thin.stat.approxQuantile("id", [i / blocks for i in range(1, blocks)], 0.25 / blocks), float))
 
@@ -108,7 +108,7 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, block_of(batch.column(0))], names=["id", "h", "n_chars", "digest", "block"])
 
-    thin = thin.mapInArrow(place, THIN)
+    thin = thin.mapInArrow(lean(place), THIN)
     firsts = sorted((r.block, r.first.id, bytes(r.first.h)) for r in thin.groupBy("block").agg(F.min(F.struct("id", "h")).alias("first")).collect())  # one row for each block
     tails: dict = {}
     for i, (_, key, h) in enumerate(firsts):
@@ -125,8 +125,8 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
 
     shared = thin.groupBy("digest").count().where("count > 1").select("digest")
     marks = thin.join(shared, "digest", "left_semi").select("block", F.lit(0).alias("tail"), "id", "h", F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("body"))
-    stream = docs.mapInArrow(units, UNIT).unionByName(marks).repartition(partitions(spark), "block").sortWithinPartitions("block", "tail", "id", "h", "kind")
-    rows = cut(stream.mapInArrow(lambda batches: _edit(batches, share), EDITED))
+    stream = docs.mapInArrow(lean(units), UNIT).unionByName(marks).repartition(partitions(spark), "block").sortWithinPartitions("block", "tail", "id", "h", "kind")
+    rows = cut(stream.mapInArrow(lean(lambda batches: _edit(batches, share)), EDITED))
     # an edited text that falls into a bucket was compared in _edit with its own text; buckets of texts are compared here
     rows = _named(rows.drop("canon"), _colliding(rows), {"fingerprint": ("digest", "second"), "edited_fingerprint": ("edited_digest", "edited_second")})
     return rows.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")

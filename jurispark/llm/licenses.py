@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import alnum_words, raw
+from jurispark.llm.common import alnum_words, lean, raw
 
 #: Phrases and their labels. Fixed values.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -55,7 +55,7 @@ def token_frequencies(docs: DataFrame, tokens: set[bytes], text_col: str) -> dic
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([*seen], pa.binary()), pa.array([*seen.values()], pa.int64())], names=["token", "n"])
 
-    rows = docs.select(text_col).mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text_col).mapInArrow(lean(run), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     return {bytes(r.token): r.n for r in rows}
 
 
@@ -140,4 +140,4 @@ def scan_licenses(docs: DataFrame, *, text_col: str = "text", templates=TEMPLATE
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[*batch.schema.names, *[c.split()[0] for c in SCAN.split(", ")]])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, {SCAN}")
+    return docs.mapInArrow(lean(run), f"{fields}, {SCAN}")

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import cut, partitions, raw
+from jurispark.llm.common import cut, lean, partitions, raw
 
 #: Words of a window, and of an anchor inside it.
 WINDOW, ANCHOR = 50, 16
@@ -82,7 +82,7 @@ def _scan(docs: DataFrame) -> DataFrame:
                 anchors.append(np.unique(least_anchor(grams(words))).view(np.int64) if len(words) >= WINDOW else [])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(cls, pa.int64()), pa.array(sizes, pa.int64()), pa.array(wholes), pa.array(anchors, pa.list_(pa.int64()))], names=["id", "key", "cls", "n_words", "whole", "anchors"])
 
-    return cut(docs.mapInArrow(run, ROWS))
+    return cut(docs.mapInArrow(lean(run), ROWS))
 
 
 ZONES = "doc long, cls long, z binary, cold array<long>, hot array<long>"
@@ -103,7 +103,7 @@ def _zones(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield out.filter(pa.array(stay, pa.bool_()))
 
     joined = docs.join(wanted, docs["id"] == wanted["doc"]).select("text", "doc", "cls", "cold", "hot")
-    return cut(joined.mapInArrow(run, ZONES))
+    return cut(joined.mapInArrow(lean(run), ZONES))
 
 
 def _runs(least: np.ndarray, wanted: np.ndarray):
@@ -138,7 +138,7 @@ def _segments(zones: DataFrame) -> DataFrame:
     def _table(rows):
         return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in rows[:4]), pa.array(rows[4], pa.binary())], names=["anchor", "doc", "cls", "start", "words"])
 
-    return zones.mapInArrow(run, "anchor long, doc long, cls long, start long, words binary")
+    return zones.mapInArrow(lean(run), "anchor long, doc long, cls long, start long, words binary")
 
 
 SPANS = "doc long, cls long, spans array<long>"
@@ -207,7 +207,7 @@ def _locate(segments: DataFrame) -> DataFrame:
                 spans.append(found)
         yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(classes, pa.int64()), pa.array(spans, pa.list_(pa.int64()))], names=["doc", "cls", "spans"])
 
-    return segments.mapInArrow(run, SPANS)
+    return segments.mapInArrow(lean(run), SPANS)
 
 
 def _locate_hot(zones: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def _locate_hot(zones: DataFrame) -> DataFrame:
                 n = len(at)
                 yield pa.RecordBatch.from_arrays([pa.array(join(a, b).view(np.int64)), pa.array(join(a, b, 0x5BD1E995).view(np.int64)), pa.array(np.full(n, doc, np.int64)), pa.array(np.full(n, cls, np.int64)), pa.array(at.astype(np.int64))], names=["h1", "h2", "doc", "cls", "start"])
 
-    rows = zones.mapInArrow(run, "h1 long, h2 long, doc long, cls long, start long")
+    rows = zones.mapInArrow(lean(run), "h1 long, h2 long, doc long, cls long, start long")
     first = rows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("final")).where("first < final").drop("final")
     return rows.join(first, ["h1", "h2"]).where("first < doc").select("doc", "cls", F.array(F.col("start"), F.col("start") + WINDOW).alias("spans"))
 
@@ -281,7 +281,7 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 digests.append(hashlib.sha256(text).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.int64()), pa.array(digests, pa.string())], names=["doc", "cls", "gone", "sha"])
 
-    changed = zones.join(spans, ["doc", "cls"]).select("doc", "cls", "z", "spans").mapInArrow(strip, "doc long, cls long, gone long, sha string")
+    changed = zones.join(spans, ["doc", "cls"]).select("doc", "cls", "z", "spans").mapInArrow(lean(strip), "doc long, cls long, gone long, sha string")
     out = rows.drop("anchors", "cls").join(classes.select("key", "doc", "cls"), "key")
     out = out.join(changed.withColumnRenamed("doc", "id"), ["id", "cls"], "left")
     copy = F.col("id").isNotNull() & (F.col("id") > F.col("doc")) & (F.col("n_words") >= WINDOW)

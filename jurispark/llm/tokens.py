@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from jurispark.llm.common import raw
+from jurispark.llm.common import lean, raw
 
 #: The pre-tokenizer's pattern, and bytes as the characters that stand for them in the vocabulary. Fixed values.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -144,4 +144,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(tokens, pa.int64()), pa.array([t > limit for t in tokens], pa.bool_())], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")

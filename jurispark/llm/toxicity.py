@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import cut, raw
+from jurispark.llm.common import cut, lean, raw
 
 #: What a character may stand for besides itself. Fixed values.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "*": "abcdefghijklmnopqrstuvwxyz"}
@@ -59,7 +59,7 @@ def count_trigrams(docs: DataFrame, text_col: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["gram", "n"])
 
     out = np.zeros(SYMBOLS**3, np.int64)
-    for r in docs.select(text_col).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select(text_col).mapInArrow(lean(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
         out[r.gram] = r.n
     return out.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
 
@@ -227,7 +227,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     # gain: how much likelier the counts are with a rate for each class than with one rate
     rate = (F.col("n0") + F.col("n1")) / max(1, sum(total))
     gain = sum((2 * F.when(seen > 0, seen * F.log(seen / (n * share))).otherwise(0.0) for n, c in zip(total, ("n0", "n1"), strict=True) if n for seen, share in ((F.col(c), rate), (F.lit(n) - F.col(c), 1 - rate))), F.lit(0.0))
-    best = rows.mapInArrow(tally, "name string, n0 long, n1 long").groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("gain", gain).where(F.col("gain") >= GAIN).orderBy(F.desc("gain"), "name").limit(FEATURES)
+    best = rows.mapInArrow(lean(tally), "name string, n0 long, n1 long").groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("gain", gain).where(F.col("gain") >= GAIN).orderBy(F.desc("gain"), "name").limit(FEATURES)
     model = Model([r.name for r in best.collect()])
 
     def present(batches):
@@ -235,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(model.found(t, read)) for t in raw(batch.column(0))], pa.list_(pa.int64())), batch.column(1).cast(pa.int64())], names=["found", "label"])
 
-    seen = sorted(((r.found, r.label) for r in rows.mapInArrow(present, "found array<long>, label long").collect()), key=lambda r: (r[1], r[0]))  # at most 2 * sample rows
+    seen = sorted(((r.found, r.label) for r in rows.mapInArrow(lean(present), "found array<long>, label long").collect()), key=lambda r: (r[1], r[0]))  # at most 2 * sample rows
     model.known = {}
     y = np.array([label for _, label in seen], float)
     if 0 < y.sum() < len(y):
@@ -264,6 +264,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         for batch in batches:
             scores = [model.score(t, read) for t in raw(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=[*batch.schema.names, "score", "predicted"])
+        model.known.clear()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, score double, predicted int")
+    return docs.mapInArrow(lean(run), f"{fields}, score double, predicted int")

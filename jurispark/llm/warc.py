@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import raw, shared_dir
+from jurispark.llm.common import lean, raw, shared_dir
 
 #: Payloads of fewer bytes are stored in full even if another record holds the same.
 REVISIT_BYTES = 1000
@@ -93,7 +93,7 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
                 out += records(page, url, text, sha1, leader, revisit, f"{task}-{n}", segment_bytes)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    rows.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    rows.mapInArrow(lean(run), "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def _parse(data: bytes):
@@ -188,7 +188,7 @@ def read_warc(spark: SparkSession, path: str, *, payloads: bool = True) -> DataF
         return pa.Table.from_batches([_batch([_whole(origin, parts[0][2], None, parts[0][3], block, payloads)], WHOLE)])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    parts = files.mapInArrow(read, PART)
+    parts = files.mapInArrow(lean(read), PART)
     single = parts.where("number = 0").select(F.col("origin").cast("long").alias("page"), F.col("n").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", F.col("block").alias("payload"))
     return single.unionByName(parts.where("number > 0").groupBy("origin").applyInArrow(join, WHOLE))
 
