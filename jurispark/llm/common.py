@@ -78,6 +78,9 @@ def scratch(spark: SparkSession):
     def keep(df: DataFrame) -> DataFrame:
         paths.append(f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}")
         df.write.parquet(paths[-1])
+        # Spark deletes the shuffle files of finished steps when the driver collects its garbage; a driver with room to
+        # spare does so too seldom, and the files pile up
+        spark.sparkContext._jvm.System.gc()
         return spark.read.schema(df.schema).parquet(paths[-1])
 
     try:

@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from jurispark.llm import toxicity as X
 from jurispark.llm import warc as W
+from jurispark.llm.common import delete
 from tests.oracle import plain, rows
 
 SF = "/root/testdata/sf0.001"
@@ -38,7 +39,7 @@ def test_archives(spark):
         if r.record_type == "response":
             assert bytes(r.payload) == texts[r.page] and r.refers_to is None
     assert {(r.page, r.refers_to) for r in found if r.record_type == "revisit"} == {(3, 4), (None, 4)}
-    W.delete(spark, path)
+    delete(spark, path)
     W.write_warc(df.limit(0), path)
     assert W.read_warc(spark, path).count() == 0
 
