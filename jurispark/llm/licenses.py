@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,16 +67,20 @@ class Index:
     s - m + 1 rarest at least one is then in the block, so only these are indexed, each with its position.
     """
 
+    #: A notice may be wrapped, or hold other words: it is looked for in runs of so many times its template's words.
+    RUN = 2
+
     def __init__(self, templates: list[tuple[str, str]], threshold: float, frequency: dict[bytes, int]):
         self.sets, self.index = [], {}
         for text, label in templates:
-            tokens = sorted(set(alnum_words(text.encode())), key=lambda t: (frequency.get(t, 0), t))
+            words = alnum_words(text.encode())
+            tokens = sorted(set(words), key=lambda t: (frequency.get(t, 0), t))
             if not tokens:
                 continue
             least = max(1, math.ceil(threshold * len(tokens) - 1e-9))
             for at, token in enumerate(tokens[: len(tokens) - least + 1]):
                 self.index.setdefault(token, []).append((len(self.sets), at))
-            self.sets.append((frozenset(tokens), len(tokens), least, label))
+            self.sets.append((frozenset(tokens), len(tokens), least, label, self.RUN * len(words)))
         self.prefix = frozenset(self.index)
 
     def match(self, block: set[bytes]):
@@ -83,7 +88,7 @@ class Index:
         tried = set()
         for token in block & self.prefix:
             for number, at in self.index[token]:
-                tokens, size, least, label = self.sets[number]
+                tokens, size, least, label, _ = self.sets[number]
                 # length: the block is large enough; position: with this as its first shared token, enough can follow
                 if number in tried or len(block) < least or size - at < least:
                     continue
@@ -92,6 +97,28 @@ class Index:
                 if shared >= least:
                     yield label, shared / size
 
+    def match_runs(self, words: list[bytes]):
+        """(label, greatest containment) of every template that a run of consecutive words meets, wherever lines end."""
+        seen = set(words)
+        for number in {number for token in seen & self.prefix for number, _ in self.index[token]}:
+            tokens, size, least, label, length = self.sets[number]
+            if len(seen & tokens) < least:
+                continue
+            at = [(i, w) for i, w in enumerate(words) if w in tokens]
+            held: Counter = Counter()
+            first = most = 0
+            for i, w in at:  # the run that ends here
+                held[w] += 1
+                while at[first][0] <= i - length:
+                    gone = at[first][1]
+                    held[gone] -= 1
+                    if not held[gone]:
+                        del held[gone]
+                    first += 1
+                most = max(most, len(held))
+            if most >= least:
+                yield label, most / size
+
 
 SCAN = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
@@ -100,8 +127,9 @@ def scan_licenses(docs: DataFrame, *, text_col: str = "text", templates=TEMPLATE
     """Adds n_words, n_base, first_word, last_word, base_labels, labels, score to every row.
 
     Phrases: all places where a phrase's words stand one after the other. Templates: blocks are lines (long ones
-    in overlapping parts of 256 words); a block gets a template's label when it contains at least ``threshold``
-    of the template's distinct words. Words are ordered by the number of texts that hold them, counted over all
+    in overlapping parts of 256 words) and, across line ends, all runs of twice the template's words, so that
+    wrapped notices are found; a block gets a template's label when it contains at least ``threshold`` of the
+    template's distinct words. Words are ordered by the number of texts that hold them, counted over all
     of docs. score: 1 with a phrase, else the greatest containment found, else 0.
 
     Null and empty texts have no words and no labels; repeated rows get the same; other columns stay, and those
@@ -127,10 +155,9 @@ def scan_licenses(docs: DataFrame, *, text_col: str = "text", templates=TEMPLATE
                 i = line.find(needle, i + 1)
         found, best = set(base), 1.0 if starts else 0.0
         if not index.prefix.isdisjoint(words):
-            for block in _blocks(text):
-                for label, share in index.match(set(block)):
-                    found.add(label)
-                    best = max(best, share)
+            for label, share in chain(index.match_runs(words), *(index.match(set(block)) for block in _blocks(text))):
+                found.add(label)
+                best = max(best, share)
         return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(found)), best
 
     def run(batches):

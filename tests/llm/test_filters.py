@@ -106,6 +106,35 @@ def test_licenses(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licenses_wrapped(spark):
+    """Notices over several lines, against all runs of words and all lines, cut here by themselves."""
+    notices = {"bsd": 11, "mit": 10, "gpl-3.0": 13, "all-rights-reserved": 4, "mpl-2.0": 9}
+    texts, wanted = [], []
+    for mark in ("", "# ", " * ", "// "):
+        for notice, label in licenses.TEMPLATES:
+            width = notices.get(label, 7)
+            words = notice.split()
+            lines = [mark + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+            texts.append("some words before it\n" * 50 + "\n".join(lines) + "\r\n" + "and after it\n" * 200)
+            wanted.append(label)
+    one = " ".join(licenses.TEMPLATES[11][0].split()[:9])
+    texts += [one + "\nother" * 60 + "\n" + licenses.TEMPLATES[11][0][len(one) :], "permission granted\n" * 300, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
+    for i, label in enumerate(wanted):
+        assert label in found[i].labels.split(",") and found[i].score == 1.0
+    assert [found[i].labels for i in range(len(wanted), len(texts))] == ["", "", ""]
+    for i, text in enumerate(texts):
+        words, labels = re.findall("[0-9a-z]+", (text or "").lower()), set(found[i].base_labels.split(",")) - {""}
+        lines = [set(re.findall("[0-9a-z]+", line)) for line in (text or "").lower().split("\n")]
+        for notice, label in licenses.TEMPLATES:
+            t = re.findall("[0-9a-z]+", notice.lower())
+            runs = [set(words[at : at + 2 * len(t)]) for at in range(len(words))]
+            if any(len(block & set(t)) >= 0.75 * len(set(t)) for block in runs + lines):
+                labels.add(label)
+        assert found[i].labels == ",".join(sorted(labels))
+
+
 @pytest.mark.parametrize("block_bytes", [10**6, 60])
 def test_decontamination(spark, block_bytes):
     bench = [(1, "one two three four five six seven eight nine ten eleven twelve"), (2, "short item"), (3, None), (4, "..."), (None, "a b c d e f g h i j"), (2, "other words")]
