@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +78,8 @@ class Decoder:
 
     def __call__(self, word: str) -> str:
         """The likeliest reading. Each run of one character is a stage: a symbol stands for its letters, a run
-        of two or more for the letter once or twice."""
+        of two or more for the letter once or twice. Two stars are a vowel here, more are noise; ``masked`` reads
+        them star by star."""
         paths = {(0, 0): (0.0, "")}
         for run in re.finditer(r"(.)\1*", word):
             c, n = run[1], len(run[0])
@@ -98,6 +101,52 @@ class Decoder:
         end = [(s + float(self.log[a, b, 0]), text) for (a, b), (s, text) in paths.items()]
         return max(end)[1] if end else ""
 
+    def likelihood(self, word: str) -> float:
+        s = [0, 0, *(self.code.get(c, 0) for c in word), 0]
+        return sum(float(self.log[x, y, z]) + self.reward for x, y, z in zip(s, s[1:], s[2:], strict=False))
+
+    def _step(self, score: np.ndarray, letters: dict[int, str], optional: bool) -> np.ndarray:
+        """The best score of each pair of last letters after a stage."""
+        ahead = score.copy() if optional else np.full_like(score, -np.inf)
+        some = score > -np.inf
+        a, b, at = np.flatnonzero(some.any(1)), np.flatnonzero(some.any(0)), [*letters]
+        here = np.ix_(b, at)
+        ahead[here] = np.maximum(ahead[here], (score[np.ix_(a, b)][:, :, None] + self.log[np.ix_(a, b, at)]).max(0) + self.reward)
+        return ahead
+
+    def masked(self, word: str, gaps: bool) -> str:
+        """The likeliest reading in which each star is a stage of its own: one letter, or with ``gaps`` a letter or
+        nothing. Scores are kept for every 256th stage and worked out again on the way back, so that a long run of
+        stars takes time in proportion and little memory."""
+        stages = []
+        for run in re.finditer(r"(.)\1*", word):
+            c, n = run[1], len(run[0])
+            letters = {self.code.get(a, 0): a for a in LEET.get(c, c)}
+            stages += [(letters, gaps)] * n if c == "*" else [(letters, False), (letters, True)][: min(n, 2)]
+        score = np.full((SYMBOLS, SYMBOLS), -np.inf, np.float32)
+        score[0, 0] = 0
+        kept, last = [], []
+        for t, stage in enumerate(stages):
+            if t % 256 == 0:
+                kept.append(score)
+                last = [score]
+            score = self._step(score, *stage)
+            last.append(score)
+        a, b = np.unravel_index(int((score + self.log[:, :, 0]).argmax()), score.shape)
+        out = []
+        for block in range(len(kept) - 1, -1, -1):
+            here = stages[block * 256 : block * 256 + 256]
+            scores = last if block == len(kept) - 1 else [kept[block]]
+            for stage in here[len(scores) - 1 :]:
+                scores.append(self._step(scores[-1], *stage))
+            for t in range(len(here) - 1, -1, -1):
+                letters, optional = here[t]
+                if optional and scores[t][a, b] == scores[t + 1][a, b]:
+                    continue
+                out.append(letters[int(b)])
+                a, b = int((scores[t][:, a] + self.log[:, a, b]).argmax()), a
+        return "".join(reversed(out))
+
 
 class Reader:
     """Restored words of a text: its plain words, and readings of those that look obfuscated.
@@ -105,13 +154,35 @@ class Reader:
     Words are read one by one and by kind, so that each is decoded once; only letters apart need the whole text.
     """
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, known=()):
         self.decode = Decoder(counts)
+        self.known = sorted(n for n in known if not n.endswith("-"))
+        self.longest = max(map(len, self.known), default=0)
+
+    def fitting(self, word: str) -> set[str]:
+        """Of the classifier's words that fit a word with stars, the likeliest: one with a letter for each star or,
+        if there is none, with fewer."""
+        runs = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", word)]
+        if sum(c != "*" for c, _ in runs) > self.longest:
+            return set()
+        start = "".join(c for c, _ in takewhile(lambda run: run[1] == 1 and run[0] not in LEET, runs))
+        words = self.known[bisect_left(self.known, start) : bisect_left(self.known, start + chr(0x10FFFF))]
+        for least in ("", "0,") if words else ():
+            parts = (f"[a-z]{{{least}{n}}}" if c == "*" else f"[{re.escape(c + LEET.get(c, ''))}]{{1,{min(n, 2)}}}" for c, n in runs)
+            fit = [*filter(re.compile("".join(parts)).fullmatch, words)]
+            if fit:
+                return {max(fit, key=lambda w: (self.decode.likelihood(w), w))}
+        return set()
 
     def readings(self, word: str) -> set[str]:
-        """The likeliest reading, and the same with every letter once."""
-        best = self.decode(word)
-        return {best, re.sub(r"(.)\1+", r"\1", best)}
+        """The likeliest reading, and the same with every letter once. Runs of stars beside other characters may be
+        noise, a letter for each star, or fewer letters; all three are read, and what the classifier knows."""
+        found = {self.decode(word)}
+        if "*" in word and word.strip("*"):
+            found |= self.fitting(word)
+        if "**" in word and word.strip("*"):
+            found |= {self.decode(word.replace("*", "")), self.decode.masked(word, False), self.decode.masked(word, True)}
+        return found | {re.sub(r"(.)\1+", r"\1", best) for best in found}
 
     def spaced(self, text: str) -> set[str]:
         out = set()
@@ -231,7 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     model = Model([r.name for r in best.collect()])
 
     def present(batches):
-        read = Reader(counts)
+        read = Reader(counts, model.names)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(model.found(t, read)) for t in raw(batch.column(0))], pa.list_(pa.int64())), batch.column(1).cast(pa.int64())], names=["found", "label"])
 
@@ -249,7 +320,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     """Adds score (0 to 1) and predicted (1 from 0.5) to every row.
 
     Words with leetspeak, letters spaced out or repeated, look-alike and invisible characters are decoded by
-    Viterbi search under a letter-trigram model of all texts; restored words and word starts are then scored by
+    Viterbi search under a letter-trigram model of all texts, with any letter for each star, and
+    by the classifier's own words that fit the stars; restored words and word starts are then scored by
     a logistic regression learnt from labels outside the held-out fifth. Only the text enters a score.
 
     Null and empty texts get the score of a text without words; null ids are scored like others; repeated rows
@@ -260,7 +332,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     at = docs.columns.index(text_col)
 
     def run(batches):
-        read = Reader(counts)
+        read = Reader(counts, model.names)
         for batch in batches:
             scores = [model.score(t, read) for t in raw(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=[*batch.schema.names, "score", "predicted"])

@@ -1,5 +1,6 @@
 """Archives as an exact round trip, toxicity by held-out accuracy, the pipeline's stages by their effects."""
 
+import itertools
 import os
 import random
 
@@ -86,6 +87,33 @@ def test_toxicity(spark):
     assert {r.predicted for r in X.score_toxicity(docs.limit(20), labels.limit(0)).collect()} == {0}
 
 
+def test_toxicity_masked(spark):
+    """Toxic words with runs of stars; stars as noise; stars alone."""
+    docs, labels = corpus(spark)
+    masked = ["what an id**t and a m**on", "such s**m", "m***n l***r", "i***t", "idiot*** here", "l0s3r***", "the c**rt heard the j***e", "court*** of appeal***", "*** * * * ****"]
+    odd = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(masked)], "doc_id long, text string").withColumn("score", F.lit("own"))
+    scored = X.score_toxicity(docs.unionByName(odd), labels, sample=400)
+    found = {r.doc_id: r.predicted for r in scored.where("doc_id < 0").collect()}
+    assert [found[-1 - i] for i in range(len(masked))] == [1, 1, 1, 1, 1, 1, 0, 0, 0]
+
+
+def test_masked_words_against_every_reading():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 40, (X.SYMBOLS,) * 3) * (rng.random((X.SYMBOLS,) * 3) < 0.1)
+    read = X.Reader(counts, ["idiot", "idi-", "scum", "moron", "matron"])
+    decode = read.decode
+    for word in ("id**t", "m**", "**b", "s1*m"):
+        for gaps in (False, True):
+            choices = [[*X.LEET["*"], *[""][: int(gaps)]] if c == "*" else [*X.LEET.get(c, c)] for c in word]
+            best = max(decode.likelihood("".join(p)) for p in itertools.product(*choices))
+            reading = decode.masked(word, gaps)
+            assert decode.likelihood(reading) == pytest.approx(best, abs=1e-3)
+            assert gaps or len(reading) == len(word)
+    assert len(decode.masked("a" + "*" * 700 + "b", False)) == 702
+    assert [read.fitting(w) for w in ("id**t", "m****n", "m***n", "m***on", "5**m", "x**t")] == [{"idiot"}, {"matron"}, {"moron"}, {"matron"}, {"scum"}, set()]
+    assert "idiot" in read.readings("idiot***") and not any(read.readings("***"))
+
+
 def test_decoder_follows_the_model():
     counts = np.zeros((X.SYMBOLS,) * 3, np.int64)
     code = {c: i + 1 for i, c in enumerate(X.LETTERS)}
