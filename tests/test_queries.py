@@ -20,3 +20,10 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_cjk_spaces_go_from_bodies(spark):
+    """No space between two Chinese characters stays in any body."""
+    found = entry.queries()["cjk_space_clean"](spark, SF)
+    assert found.where("body RLIKE '上海市浦东新区人民法院'").count() > 0
+    assert found.where("body RLIKE '[\\\\x{4e00}-\\\\x{9fff}] +[\\\\x{4e00}-\\\\x{9fff}]'").count() == 0
