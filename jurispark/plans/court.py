@@ -97,7 +97,7 @@ def title_redaction(spark, sf_dir):
     return raw(spark, sf_dir).select("doc_num", T.clean_title(F.col("s1")).alias("title"))
 
 
-@query("cjk_space_clean", f"WITH raw AS ({RAW}) SELECT doc_num, replace(s2, '区 人', '区人') AS court, replace(replace(qwContent, '审 判 长', '审判长'), '长　王', '长　王') AS body FROM raw")
+@query("cjk_space_clean", f"WITH raw AS ({RAW}) SELECT doc_num, replace(s2, '区 人', '区人') AS court, replace(replace(qwContent, '审 判 长', '审判长'), '区 人', '区人') AS body FROM raw")
 def cjk_space_clean(spark, sf_dir):
     return raw(spark, sf_dir).select("doc_num", T.drop_cjk_spaces(F.col("s2")).alias("court"), T.drop_cjk_spaces(F.col("qwContent")).alias("body"))
 
