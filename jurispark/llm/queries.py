@@ -15,7 +15,7 @@ from jurispark.llm.secrets import digest, find_secrets
 from jurispark.llm.substrings import dedup_substrings
 from jurispark.llm.tokens import count_tokens
 from jurispark.llm.toxicity import held_out, score_toxicity
-from jurispark.llm.warc import WARC_SQL, archive_path, read_warc, write_warc
+from jurispark.llm.warc import WARC_SQL, archive_path, page_records, read_warc, write_warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -68,9 +68,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = archive_path(spark)
     write_warc(table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
-    found = cut(read_warc(spark, path, payloads=False).drop("payload"))
-    delete(spark, path)
-    return found.withColumnRenamed("page", "page_id")
+    found = page_records(read_warc(spark, path, payloads=False))
+    delete(spark, path)  # the reader has kept what it read
+    return found.select(F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
 @query("op10_toxicity")

@@ -28,36 +28,87 @@ def test_chunks():
 
 def test_archives(spark):
     same = "x" * 1200
-    pages = [(1, "u", None), (2, None, ""), (3, "a b", same), (4, "c", same), (None, "d", same), (5, "e", "y" * 999), (6, "e", "y" * 999), (7, "e", "é" * 60000), (7, "e", "é" * 60000), (8, "f", os.urandom(60000).hex() + "\r\n\r\nWARC/1.1")]
+    pages = [(1, "u", None), (2, None, ""), (3, "a b", same), (4, "c", same), (None, "d", same), (5, "e", "y" * 999), (6, "e", "y" * 999), (7, "e", "é" * 60000), (7, "e", "é" * 60000), (8, "f", os.urandom(60000).hex() + "\r\n\r\nWARC/1.1"), (9, "g", "long " * 400_000)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("sha1", F.lit("own"))
     path = W.archive_path(spark)
     W.write_warc(df, path)
-    found = W.read_warc(spark, path).collect()
+    read = W.read_warc(spark, path)
+    found = read.collect()
     texts = {i: (t or "").encode() for i, _, t in pages}
-    assert len(found) == len(pages)
+    assert len(found) == len(pages) and len({r.record_id for r in found}) == len(pages)
+    names = {r.record_id: r for r in found if r.record_type == "response"}
     for r in found:
-        assert r.payload_bytes == len(texts[r.page])
+        page = None if r.page is None else int(r.page)
+        assert r.payload_bytes == len(texts[page]) and r.payload_digest == W.hashlib.sha1(texts[page]).hexdigest()
         if r.record_type == "response":
-            assert bytes(r.payload) == texts[r.page] and r.refers_to is None
-    assert {(r.page, r.refers_to) for r in found if r.record_type == "revisit"} == {(3, 4), (None, 4)}
+            assert bytes(r.payload) == texts[page] and r.refers_to is None
+        else:
+            assert r.refers_to in names  # it names a record that is there
+    assert {(r.page, r.refers_to) for r in W.page_records(read).collect() if r.record_type == "revisit"} == {("3", "4"), (None, "4")}
+    delete(spark, path)
+    W.write_warc(df.select(F.concat(F.lit("id-"), "page_id").alias("page_id"), "url", "html"), path)  # ids of another type
+    assert {(r.page, r.refers_to) for r in W.page_records(W.read_warc(spark, path, payloads=False)).collect() if r.record_type == "revisit"} == {("id-3", "id-4"), (None, "id-4")}
     delete(spark, path)
     W.write_warc(df.limit(0), path)
     assert W.read_warc(spark, path).count() == 0
 
 
+def foreign(kind, name, block, *more):
+    head = "".join(f"{k}: {v}\r\n" for k, v in [("warc-type", kind), ("WARC-RECORD-ID", name), *more, ("Content-length", len(block))])
+    return b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + W.END
+
+
+def http(body, chunks=False):
+    return b"HTTP/1.1 200 OK\r\n" + (b"transfer-encoding:  chunked" if chunks else b"X: y") + b"\r\n\r\n" + (W.chunked(body, 700) if chunks else body)
+
+
+def test_archives_of_others(spark, tmp_path):
+    """Other names, ids, kinds of record, digests and packing: every record of every member is read."""
+    sha1 = W.hashlib.sha1(b"one" * 500)
+    base32 = W.base64.b32encode(sha1.digest()).decode()
+    mime = ("Content-Type", "application/http; msgtype=response")
+    list_ = [
+        foreign("warcinfo", "<urn:uuid:0>", b"software: x\r\n"),
+        foreign("request", "<urn:uuid:1>", b"GET / HTTP/1.1\r\n\r\n", mime),
+        foreign("response", "<urn:uuid:a>", http(b"one" * 500, True), mime, ("WARC-payload-digest", f"sha1:{base32}"), ("WARC-Target-URI", "http://a/\r\n  folded")),
+        foreign("revisit", "<urn:uuid:b>", http(b""), mime, ("WARC-Refers-To", "<urn:uuid:a>"), ("WARC-Payload-Digest", f"sha1:{base32}")),
+        foreign("revisit", "<urn:uuid:c>", http(b""), mime, ("WARC-Refers-To", "<urn:uuid:nowhere>"), ("WARC-Payload-Digest", f"sha1:{sha1.hexdigest()}")),
+        foreign("resource", "plain", b"two"),
+        foreign("response", "cut", http(b"thr", True)[:-6], mime, ("WARC-Truncated", "length")),
+        foreign("metadata", "<urn:uuid:2>", b"k: v\r\n", ("WARC-Segment-Number", "1")),
+        foreign("continuation", "<urn:uuid:3>", b"w: x\r\n", ("WARC-Segment-Origin-ID", "<urn:uuid:2>"), ("WARC-Segment-Number", "2"), ("WARC-Segment-Total-Length", "12")),
+    ]
+    for i, data in enumerate((b"".join(map(W.member, list_)), W.member(b"".join(list_)), b"".join(list_))):
+        folder = tmp_path / str(i)
+        folder.mkdir()
+        (folder / ("crawl-0001.warc.gz" if i < 2 else "crawl-0001.warc")).write_bytes(data)
+        found = {r.record_id: r for r in W.read_warc(spark, str(folder)).collect()}
+        assert set(found) == {"<urn:uuid:a>", "<urn:uuid:b>", "<urn:uuid:c>", "plain", "cut"}
+        assert bytes(found["<urn:uuid:a>"].payload) == b"one" * 500 and found["<urn:uuid:a>"].uri == "http://a/ folded"
+        assert (found["<urn:uuid:b>"].payload_bytes, found["<urn:uuid:b>"].payload_digest) == (1500, sha1.hexdigest())
+        assert (found["<urn:uuid:c>"].payload_bytes, found["<urn:uuid:c>"].payload_digest) == (None, sha1.hexdigest())
+        assert bytes(found["plain"].payload) == b"two"
+    wrong = [list_[2], list_[3].replace(base32.encode(), W.base64.b32encode(W.hashlib.sha1(b"else").digest()))]
+    for i, (data, said) in enumerate([(W.member(list_[2])[:-9], "cut off"), (b"".join(wrong), "not that of"), (list_[2].replace(b"oneone", b"oneone".upper()), "digest differs"), (list_[2][:-8], "ends wrongly")]):
+        folder = tmp_path / f"bad{i}"
+        folder.mkdir()
+        (folder / "x.warc").write_bytes(data)
+        with pytest.raises(Exception, match=said):
+            W.read_warc(spark, str(folder)).collect()
+
+
 def test_damaged_segments_raise(spark, tmp_path):
-    parts = list(W.records(9, "u", b"z" * 5000, W.hashlib.sha1(b"z" * 5000).hexdigest(), None, False, "m", 1000))
+    parts = list(W.records(W.record_id("9", 1), "9", "u", b"z" * 5000, W.hashlib.sha1(b"z" * 5000).hexdigest(), "2024-01-01T00:00:00Z", None, 1000))
     for n, drop in enumerate((None, 2, len(parts) - 1)):
         (tmp_path / str(n)).mkdir()
         kept = [p for i, p in enumerate(parts) if i != drop]
         random.Random(n).shuffle(kept)
-        (tmp_path / str(n) / "part-0").write_bytes(b"".join(p + W.END for p in kept))
-        read = W.read_warc(spark, str(tmp_path / str(n)))
+        (tmp_path / str(n) / "part-0").write_bytes(b"".join(kept))
         if drop is None:
-            assert bytes(read.first().payload) == b"z" * 5000
+            assert bytes(W.read_warc(spark, str(tmp_path / str(n))).first().payload) == b"z" * 5000
         else:
             with pytest.raises(Exception, match="segments|stated"):
-                read.collect()
+                W.read_warc(spark, str(tmp_path / str(n))).collect()
 
 
 def corpus(spark, n=1500):
