@@ -20,23 +20,31 @@ from jurispark.llm.common import cut, lean, raw
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "*": "abcdefghijklmnopqrstuvwxyz"}
 #: Letters of the language model; everything else is an edge of a word.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
-#: Labelled rows of each class that the classifier is fitted on, at most, and features that it may use.
-SAMPLE, FEATURES = 4000, 3000
+#: Labelled rows of each class that the classifier is fitted on, at most.
+SAMPLE = 4000
+#: Lengths of word starts that are features, and letters of the shortest known word that is looked for inside a run.
+STARTS, INSIDE = (4, 5, 6), 4
 #: Twice the log-likelihood that a feature must gain: rare ones that fit by chance stay out.
 GAIN = 16.0
 #: Look-alikes and invisible characters. Fixed values.
-FOLD = {**dict(zip(map(ord, "авеіјкмнорстух"), "abeijkmhopctyx", strict=True)), **dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])}
+FOLD = {**dict(zip(map(ord, "авеіјкмнорстухѕԁԛԝ"), "abeijkmhopctyxsdqw", strict=True)), **dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])}
 
 _S = "".join(map(re.escape, LEET))
 _L = r"[^\W\d_]"
-#: Words with a symbol beside a letter, words with a letter three times or more, letters apart from one another.
-MIXED = re.compile(rf"(?:{_L}|[{_S}])*(?:{_L}[{_S}]+|[{_S}]+{_L})(?:{_L}|[{_S}])*")
-REPEATED = re.compile(rf"{_L}*?({_L})\1\1{_L}*")
+_SYMBOLS, _LETTERS = frozenset(LEET), frozenset(LETTERS)
+#: Stretches of the model's letters and of symbols, stretches of letters, a letter three times. Each is found in one go
+#: over a text: no pattern here can try a stretch from more than one place.
+MIXED = re.compile(rf"[{LETTERS}{_S}]+")
+PLAIN = re.compile(rf"[{LETTERS}]+")
+TRIPLE = re.compile(r"(.)\1\1", re.S)
+RUNS = re.compile(r"(.)\1*", re.S)
 SPACED = re.compile(rf"(?<![^\W_])(?:(?:{_L}|[{_S}])[ ._*-]){{2,}}(?:{_L}|[{_S}])(?![^\W_])")
 SUSPECT = re.compile(rf"{_L}[{_S}]|[{_S}]{_L}|({_L})\1\1|(?<![^\W_])\w[ ._*-]\w[ ._*-]\w(?![^\W_])")
 WORD = re.compile(rf"{_L}+")
 APART = re.compile(rb"(?<!\S)(?:[\x21-\x7e]|[\xc3-\xd1][\x80-\xbf]) (?:[\x21-\x7e]|[\xc3-\xd1][\x80-\xbf]) (?:[\x21-\x7e]|[\xc3-\xd1][\x80-\xbf])(?!\S)")
 SYMBOLS = len(LETTERS) + 1
+#: The score of what can't be.
+NEVER = -(1 << 60)
 _CODES = np.zeros(0x250, np.uint8)
 _CODES[[ord(c) for c in LETTERS]] = np.arange(1, SYMBOLS)
 
@@ -75,31 +83,52 @@ class Decoder:
         share = counts / max(1, counts.sum())
         self.reward = -float((share * self.log).sum()) if counts.sum() else 3.0  # mean cost of a letter: long readings are not punished
         self.code = {c: i + 1 for i, c in enumerate(LETTERS)}
+        self.costs = (self.log + self.reward).tolist()
+        self.whole = np.rint((self.log + self.reward) * 4096).astype(np.int64)
+        self.behind = 2 * int(self.whole.max() - self.whole.min()) + 1
 
-    def __call__(self, word: str) -> str:
+    def __call__(self, word: str, apart: bool = False) -> str:
         """The likeliest reading. Each run of one character is a stage: a symbol stands for its letters, a run
         of two or more for the letter once or twice. Two stars are a vowel here, more are noise; ``masked`` reads
-        them star by star."""
-        paths = {(0, 0): (0.0, "")}
-        for run in re.finditer(r"(.)\1*", word):
+        them star by star. With ``apart`` a word may end between any two stages, and the reading has spaces there.
+
+        Where all paths have met, what lies before is settled, so a long word takes time in proportion.
+        """
+        done: list[str] = []
+        paths: dict = {(0, 0): (0.0, None)}
+        for place, run in enumerate(RUNS.finditer(word)):
             c, n = run[1], len(run[0])
             letters = LEET.get(c, "") if c in LEET else c
             options = [a * k for a in letters for k in ((1,) if n == 1 else (1, 2))]
             if c == "*" and n > 1:
-                options = ["".join(p) for p in [("a",), ("e",), ("i",), ("o",), ("u",)]] if n == 2 else [""]
+                options = [*"aeiou"] if n == 2 else [""]
+            if apart and place:
+                options += [" " + o for o in options]
             ahead: dict = {}
-            for (a, b), (score, text) in paths.items():
+            for (a, b), (score, node) in paths.items():
                 for option in options:
                     x, y, s = a, b, score
                     for letter in option:
                         z = self.code.get(letter, 0)
-                        s += float(self.log[x, y, z]) + self.reward
+                        s += self.costs[x][y][z]
                         x, y = y, z
                     if (x, y) not in ahead or ahead[x, y][0] < s:
-                        ahead[x, y] = (s, text + option)
+                        ahead[x, y] = (s, (node, option))
             paths = ahead
-        end = [(s + float(self.log[a, b, 0]), text) for (a, b), (s, text) in paths.items()]
-        return max(end)[1] if end else ""
+            if len(paths) == 1:
+                ((state, (score, node)),) = paths.items()
+                done += self._text(node)
+                paths = {state: (0.0, None)}
+        best = max(paths.items(), key=lambda p: p[1][0] + self.costs[p[0][0]][p[0][1]][0])
+        return "".join([*done, *self._text(best[1][1])])
+
+    @staticmethod
+    def _text(node) -> list[str]:
+        out = []
+        while node:
+            node, option = node
+            out.append(option)
+        return out[::-1]
 
     def likelihood(self, word: str) -> float:
         s = [0, 0, *(self.code.get(c, 0) for c in word), 0]
@@ -107,32 +136,68 @@ class Decoder:
 
     def _step(self, score: np.ndarray, letters: dict[int, str], optional: bool) -> np.ndarray:
         """The best score of each pair of last letters after a stage."""
-        ahead = score.copy() if optional else np.full_like(score, -np.inf)
-        some = score > -np.inf
+        ahead = score.copy() if optional else np.full_like(score, NEVER)
+        some = score > NEVER
         a, b, at = np.flatnonzero(some.any(1)), np.flatnonzero(some.any(0)), [*letters]
-        here = np.ix_(b, at)
-        ahead[here] = np.maximum(ahead[here], (score[np.ix_(a, b)][:, :, None] + self.log[np.ix_(a, b, at)]).max(0) + self.reward)
-        return ahead
+        if len(at) == 26 and at == [*range(at[0], at[0] + 26)]:  # any letter
+            a, b, at = (slice(x.min(), x.max() + 1) for x in (a, b, np.array(at)))
+            ahead[b, at] = np.maximum(ahead[b, at], (score[a, b][:, :, None] + self.whole[a, b, at]).max(0))
+        else:
+            here = np.ix_(b, at)
+            ahead[here] = np.maximum(ahead[here], (score[np.ix_(a, b)][:, :, None] + self.whole[np.ix_(a, b, at)]).max(0))
+        # a cost depends on two letters, so what is behind by two costs' range can never come first
+        return np.where(ahead >= ahead.max() - self.behind, ahead, NEVER)
+
+    def _back(self, scores, t: int, stage, a: int, b: int):
+        """The letter that a stage gave on the best way to (a, b), and where that way came from."""
+        letters, optional = stage
+        if optional and scores[t][a, b] == scores[t + 1][a, b]:
+            return "", a, b
+        return letters[b], int((scores[t][:, a] + self.whole[:, a, b]).argmax()), a
 
     def masked(self, word: str, gaps: bool) -> str:
         """The likeliest reading in which each star is a stage of its own: one letter, or with ``gaps`` a letter or
-        nothing. Scores are kept for every 256th stage and worked out again on the way back, so that a long run of
-        stars takes time in proportion and little memory."""
-        stages = []
-        for run in re.finditer(r"(.)\1*", word):
-            c, n = run[1], len(run[0])
-            letters = {self.code.get(a, 0): a for a in LEET.get(c, c)}
-            stages += [(letters, gaps)] * n if c == "*" else [(letters, False), (letters, True)][: min(n, 2)]
-        score = np.full((SYMBOLS, SYMBOLS), -np.inf, np.float32)
+        nothing. Costs are whole numbers of 1/4096, so in a long run of stars the scores, taken from the best one, come
+        round again, and the way through is that of one round, over and over. Scores are
+        kept for every 256th stage and worked out again on the way back."""
+        score = np.full((SYMBOLS, SYMBOLS), NEVER, np.int64)
         score[0, 0] = 0
-        kept, last = [], []
-        for t, stage in enumerate(stages):
-            if t % 256 == 0:
+        stages, kept, last, rounds = [], [], [], {}
+
+        def add(stage):
+            nonlocal score, last
+            if len(stages) % 256 == 0:
                 kept.append(score)
                 last = [score]
+            stages.append(stage)
             score = self._step(score, *stage)
             last.append(score)
-        a, b = np.unravel_index(int((score + self.log[:, :, 0]).argmax()), score.shape)
+
+        for run in RUNS.finditer(word):
+            c, n = run[1], len(run[0])
+            letters = {self.code.get(a, 0): a for a in LEET.get(c, c)}
+            if c != "*":
+                for stage in [(letters, False), (letters, True)][: min(n, 2)]:
+                    add(stage)
+                continue
+            # Brent's search for a round: scores are held against those of a mark, which moves on in doubling steps
+            mark, since, limit, left = None, 0, 1, n
+            while left:
+                add((letters, gaps))
+                left -= 1
+                if n < 64 or limit == 0:
+                    continue
+                since += 1
+                form = np.where(score > NEVER, score - score.max(), 1)
+                if mark is not None and np.array_equal(form, mark[0]):
+                    way = [mark[1]]
+                    for _ in range(since):
+                        way.append(self._step(way[-1], letters, gaps))
+                    rounds[len(stages)] = (way, left // since)
+                    left, limit = left % since, 0
+                elif mark is None or since == limit:
+                    mark, since, limit = (form, score), 0, 2 * limit
+        a, b = map(int, np.unravel_index(int(np.where(score > NEVER, score + self.whole[:, :, 0], NEVER).argmax()), score.shape))
         out = []
         for block in range(len(kept) - 1, -1, -1):
             here = stages[block * 256 : block * 256 + 256]
@@ -140,11 +205,16 @@ class Decoder:
             for stage in here[len(scores) - 1 :]:
                 scores.append(self._step(scores[-1], *stage))
             for t in range(len(here) - 1, -1, -1):
-                letters, optional = here[t]
-                if optional and scores[t][a, b] == scores[t + 1][a, b]:
-                    continue
-                out.append(letters[int(b)])
-                a, b = int((scores[t][:, a] + self.log[:, a, b]).argmax()), a
+                if (at := block * 256 + t + 1) in rounds:
+                    way, times = rounds[at]
+                    known: dict = {}
+                    for u in [*range(len(way) - 2, -1, -1)] * times:
+                        if (u, a, b) not in known:
+                            known[u, a, b] = self._back(way, u, here[t], a, b)
+                        letter, a, b = known[u, a, b]
+                        out.append(letter)
+                letter, a, b = self._back(scores, t, here[t], a, b)
+                out.append(letter)
         return "".join(reversed(out))
 
 
@@ -157,12 +227,14 @@ class Reader:
     def __init__(self, counts: np.ndarray, known=()):
         self.decode = Decoder(counts)
         self.known = sorted(n for n in known if not n.endswith("-"))
+        self.words, self.starts = frozenset(self.known), frozenset(n[:-1] for n in known if n.endswith("-"))
+        self.lengths = sorted({len(n) for n in self.known if len(n) >= INSIDE})
         self.longest = max(map(len, self.known), default=0)
 
     def fitting(self, word: str) -> set[str]:
         """Of the classifier's words that fit a word with stars, the likeliest: one with a letter for each star or,
         if there is none, with fewer."""
-        runs = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", word)]
+        runs = [(m[1], len(m[0])) for m in RUNS.finditer(word)]
         if sum(c != "*" for c, _ in runs) > self.longest:
             return set()
         start = "".join(c for c, _ in takewhile(lambda run: run[1] == 1 and run[0] not in LEET, runs))
@@ -184,40 +256,58 @@ class Reader:
             found |= {self.decode(word.replace("*", "")), self.decode.masked(word, False), self.decode.masked(word, True)}
         return found | {re.sub(r"(.)\1+", r"\1", best) for best in found}
 
+    def inside(self, letters: str) -> set[str]:
+        """All of the classifier's words, and starts of words, that stand anywhere in a run of letters."""
+        out = set()
+        for i in range(len(letters)):
+            out.update(w for n in self.lengths if (w := letters[i : i + n]) in self.words)
+            out.update(letters[i : i + n + 1] for n in STARTS if letters[i : i + n] in self.starts)
+        return out
+
     def spaced(self, text: str) -> set[str]:
+        """Readings of letters apart: the whole run, its likeliest words, and what the classifier knows in it."""
         out = set()
         for m in SPACED.finditer(text):
-            for reading in self.readings(m[0][::2]):
-                out.update(reading[i : i + n] for n in range(4, min(12, len(reading)) + 1) for i in range(len(reading) - n + 1))
+            letters = m[0][::2]
+            out.update(self.decode(letters, True).split())
+            for reading in self.readings(letters):
                 out.add(reading)
+                out |= self.inside(reading)
         return out
 
     def piece(self, piece: bytes) -> set[str]:
         """Words of a stretch without white space."""
         text = piece.decode("utf-8", "replace")
         if not text.isascii():
-            text = unicodedata.normalize("NFKC", text).translate(FOLD).lower()
+            text = fold(text)
         words = set(WORD.findall(text))
         if SUSPECT.search(text):
             for m in MIXED.finditer(text):
-                if (found := m[0].strip("!")) not in words:
+                found = m[0].strip("!")
+                if found not in words and not _SYMBOLS.isdisjoint(found) and not _LETTERS.isdisjoint(found):
                     words |= self.readings(found)
-            for m in REPEATED.finditer(text):
-                words |= self.readings(m[0])
+            for m in PLAIN.finditer(text):
+                if TRIPLE.search(m[0]):
+                    words |= self.readings(m[0])
             words |= self.spaced(text)
         return words
 
     def apart(self, text: bytes) -> set[str]:
         """Words of letters that spaces keep apart."""
-        return self.spaced(unicodedata.normalize("NFKC", text.decode("utf-8", "replace")).translate(FOLD).lower()) if APART.search(text) else set()
+        return self.spaced(fold(text.decode("utf-8", "replace"))) if APART.search(text) else set()
 
     def __call__(self, text: bytes | None) -> set[str]:
         text = (text or b"").lower()
         return self.apart(text).union(*map(self.piece, set(text.split())))
 
 
+def fold(text: str) -> str:
+    """Compatible forms, small letters, then look-alikes as Latin letters."""
+    return unicodedata.normalize("NFKC", text).lower().translate(FOLD)
+
+
 def features(word: str) -> tuple[str, ...]:
-    return (word, *(f"{word[:n]}-" for n in (4, 5, 6) if len(word) > n))
+    return (word, *(f"{word[:n]}-" for n in STARTS if len(word) > n))
 
 
 class Model:
@@ -298,8 +388,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     # gain: how much likelier the counts are with a rate for each class than with one rate
     rate = (F.col("n0") + F.col("n1")) / max(1, sum(total))
     gain = sum((2 * F.when(seen > 0, seen * F.log(seen / (n * share))).otherwise(0.0) for n, c in zip(total, ("n0", "n1"), strict=True) if n for seen, share in ((F.col(c), rate), (F.lit(n) - F.col(c), 1 - rate))), F.lit(0.0))
-    best = rows.mapInArrow(lean(tally), "name string, n0 long, n1 long").groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("gain", gain).where(F.col("gain") >= GAIN).orderBy(F.desc("gain"), "name").limit(FEATURES)
-    model = Model([r.name for r in best.collect()])
+    best = rows.mapInArrow(lean(tally), "name string, n0 long, n1 long").groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("gain", gain).where(F.col("gain") >= GAIN)
+    model = Model(sorted(r.name for r in best.select("name").collect()))  # words of the sample that gain enough
 
     def present(batches):
         read = Reader(counts, model.names)
@@ -324,7 +414,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     by the classifier's own words that fit the stars; restored words and word starts are then scored by
     a logistic regression learnt from labels outside the held-out fifth. Only the text enters a score.
 
-    Null and empty texts get the score of a text without words; null ids are scored like others; repeated rows
+    Every pattern takes time in proportion to a text, also where it has no spaces. Null and empty texts get the score of a text without words; null ids are scored like others; repeated rows
     get equal scores; columns that clash with the added ones are replaced.
     """
     docs = docs.drop("score", "predicted")

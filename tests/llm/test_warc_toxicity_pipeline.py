@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -148,6 +149,55 @@ def test_toxicity_masked(spark):
     assert [found[-1 - i] for i in range(len(masked))] == [1, 1, 1, 1, 1, 1, 0, 0, 0]
 
 
+def exhaustive(decode, word, gaps):
+    """The best likelihood of any reading, letter by letter in a dictionary."""
+    paths = {(0, 0): 0.0}
+    for c in word:
+        ahead = dict(paths) if c == "*" and gaps else {}
+        for (a, b), s in paths.items():
+            for letter in X.LEET.get(c, c):
+                z = decode.code[letter]
+                s1 = s + float(decode.log[a, b, z]) + decode.reward
+                ahead[b, z] = max(ahead.get((b, z), -1e30), s1)
+        paths = ahead
+    return max(s + float(decode.log[a, b, 0]) + decode.reward for (a, b), s in paths.items())
+
+
+def test_short_words_against_every_reading():
+    """The Viterbi reading of leetspeak and repetition is the likeliest of all; with letters apart, of all divisions."""
+    rng = np.random.default_rng(8)
+    decode = X.Decoder(rng.integers(0, 40, (X.SYMBOLS,) * 3) * (rng.random((X.SYMBOLS,) * 3) < 0.1))
+
+    def cost(text):
+        s = [0, 0, *(decode.code.get(a, 0) for a in text), 0]
+        return sum(decode.costs[x][y][z] for x, y, z in zip(s, s[1:], s[2:], strict=False))
+
+    for _ in range(60):
+        word = "".join(rng.choice([*"abeist013457@$!|"], rng.integers(1, 7)))
+        runs = [(k, len([*g])) for k, g in itertools.groupby(word)]
+        choices = [[a * k for a in X.LEET.get(c, c) for k in ((1,) if n == 1 else (1, 2))] for c, n in runs]
+        assert cost(decode(word)) == pytest.approx(max(cost("".join(p)) for p in itertools.product(*choices)), abs=1e-6)
+        split = [choices[0], *[[*c, *(" " + o for o in c)] for c in choices[1:]]]
+        assert cost(decode(word, True)) == pytest.approx(max(cost("".join(p)) for p in itertools.product(*split)), abs=1e-6)
+
+
+@pytest.mark.parametrize("text", ["判1决" * 120_000, "a" * 1_000_000, "13x" * 330_000, "a b " * 250_000, "a_b-1." * 160_000, "x" + "*" * 1_000_000, "!" * 1_000_000 + "a", "І" * 300_000])
+def test_a_megabyte_without_spaces(text):
+    read = X.Reader(np.random.default_rng(0).integers(0, 50, (X.SYMBOLS,) * 3), ["idiot", "idio-", "scum"])
+    began = time.time()
+    read(text.encode())
+    assert time.time() - began < 15  # seconds; what was quadratic took minutes
+
+
+def test_look_alikes_and_spaced_words():
+    counts = np.zeros((X.SYMBOLS,) * 3, np.int64)
+    read = X.Reader(counts, ["idiot", "abominations", "characterization", "mons-"])
+    for word in ("іdіоt", "ІDІОT", "ѕcum", "ｉｄｉｏｔ", "i\u200bdiot"):
+        assert read(word.encode()) & {"idiot", "scum"}
+    assert {"idiot", "characterization"} <= read(" ".join("anidiotscharacterization").encode())  # of any length
+    assert any(w.startswith("mons") and len(w) > 4 for w in read(b"t h e m o n s t e r s"))
+
+
 def test_masked_words_against_every_reading():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 40, (X.SYMBOLS,) * 3) * (rng.random((X.SYMBOLS,) * 3) < 0.1)
@@ -161,6 +211,13 @@ def test_masked_words_against_every_reading():
             assert decode.likelihood(reading) == pytest.approx(best, abs=1e-3)
             assert gaps or len(reading) == len(word)
     assert len(decode.masked("a" + "*" * 700 + "b", False)) == 702
+    for n in (63, 64, 65, 150, 331):  # runs in rounds give what stage after stage gives
+        word, plain = "a" + "*" * n + "b1", decode.masked
+        best = [plain(word, gaps) for gaps in (False, True)]
+        step = [plain("a" + "*" * 40 + "b1", gaps) for gaps in (False, True)]
+        assert len(best[0]) == n + 3 and len(step[0]) == 43
+        assert decode.likelihood(best[0]) == pytest.approx(exhaustive(decode, word, False), abs=0.02)
+        assert decode.likelihood(best[1]) == pytest.approx(exhaustive(decode, word, True), abs=0.02)
     assert [read.fitting(w) for w in ("id**t", "m****n", "m***n", "m***on", "5**m", "x**t")] == [{"idiot"}, {"matron"}, {"moron"}, {"matron"}, {"scum"}, set()]
     assert "idiot" in read.readings("idiot***") and not any(read.readings("***"))
 
