@@ -15,8 +15,9 @@ from jurispark.llm.common import cut, lean, partitions, raw
 
 #: Words of a window, and of an anchor inside it.
 WINDOW, ANCHOR = 50, 16
-#: Texts with an anchor from which its windows are dealt out one by one; windows compiled into one automaton.
-HOT, PATTERNS = 4096, 8192
+#: Windows that one task holds at a time: anchors with more are told apart further, and what is still more is dealt
+#: out in parts. Windows compiled into one automaton.
+HELD, PATTERNS = 8192, 8192
 _MIX, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
 
 
@@ -51,26 +52,32 @@ def join(a: np.ndarray, b: np.ndarray, seed: int = 0) -> np.ndarray:
     return c ^ (c >> np.uint64(32))
 
 
-def least_anchor(grams: dict[int, np.ndarray]) -> np.ndarray:
-    """For each window, the least hash of its anchors: equal windows have equal ones, wherever they stand."""
-    m, size = grams[ANCHOR], 1
-    span = WINDOW - ANCHOR + 1
+def least_anchor(grams: dict[int, np.ndarray], words: int = ANCHOR) -> np.ndarray:
+    """For each window, the least hash of its runs of words: equal windows have equal ones, wherever they stand."""
+    m, size = grams[words], 1
+    span = WINDOW - words + 1
     while size * 2 <= span:
         m = np.minimum(m[:-size], m[size:])
         size *= 2
     return np.minimum(m[: len(m) - (span - size)], m[span - size :]) if span > size else m
 
 
-ROWS = "id long, key binary, cls long, n_words long, whole string, anchors array<long>"
+def second_anchor(grams: dict[int, np.ndarray]) -> np.ndarray:
+    """Tells windows with one anchor apart: the anchor, and the least hash of the window's runs of 32 words."""
+    return join(least_anchor(grams), least_anchor(grams, 32))
+
+
+ROWS = "id long, key binary, cls long, n_words long, whole string, anchors array<long>, windows array<int>"
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """A thin row for each document: its word sequence's key, number of words, digest, and anchors."""
+    """A thin row for each document: its word sequence's key, number of words, digest, and anchors with the number of
+    windows that have each."""
 
     def run(batches):
         grams = Grams()
         for batch in batches:
-            keys, cls, sizes, wholes, anchors = [], [], [], [], []
+            keys, cls, sizes, wholes, anchors, windows = [], [], [], [], [], []
             for t in raw(batch.column(1)):
                 words = (t or b"").split()
                 text = b" ".join(words)
@@ -79,8 +86,10 @@ def _scan(docs: DataFrame) -> DataFrame:
                 cls.append(int.from_bytes(key[:8], "big", signed=True))
                 sizes.append(len(words))
                 wholes.append(hashlib.sha256(text).hexdigest())
-                anchors.append(np.unique(least_anchor(grams(words))).view(np.int64) if len(words) >= WINDOW else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(cls, pa.int64()), pa.array(sizes, pa.int64()), pa.array(wholes), pa.array(anchors, pa.list_(pa.int64()))], names=["id", "key", "cls", "n_words", "whole", "anchors"])
+                some, n = np.unique(least_anchor(grams(words)), return_counts=True) if len(words) >= WINDOW else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                anchors.append(some.view(np.int64))
+                windows.append(n.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(cls, pa.int64()), pa.array(sizes, pa.int64()), pa.array(wholes), pa.array(anchors, pa.list_(pa.int64())), pa.array(windows, pa.list_(pa.int32()))], names=[c.split()[0] for c in ROWS.split(", ")])
 
     return cut(docs.mapInArrow(lean(run), ROWS))
 
@@ -106,6 +115,27 @@ def _zones(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return cut(joined.mapInArrow(lean(run), ZONES))
 
 
+def _second(zones: DataFrame) -> DataFrame:
+    """(doc, cls, key, n): the second anchors of windows whose anchor very many windows have."""
+
+    def run(batches):
+        grams, unpack = Grams(), zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            docs, classes, keys, counts = [], [], [], []
+            for doc, cls, z, hot in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True):
+                if hot:
+                    g = grams(unpack(z).split())
+                    some, n = np.unique(second_anchor(g)[np.isin(least_anchor(g).view(np.int64), np.array(hot, np.int64))].view(np.int64), return_counts=True)
+                    docs.append(np.full(len(some), doc))
+                    classes.append(np.full(len(some), cls))
+                    keys.append(some)
+                    counts.append(n)
+            if docs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (docs, classes, keys, counts)], names=["doc", "cls", "key", "n"])
+
+    return zones.mapInArrow(lean(run), "doc long, cls long, key long, n long")
+
+
 def _runs(least: np.ndarray, wanted: np.ndarray):
     """[first, last] of windows in a row with one and the same wanted anchor."""
     at = np.flatnonzero(np.isin(least, wanted))
@@ -115,126 +145,207 @@ def _runs(least: np.ndarray, wanted: np.ndarray):
             yield int(at[a]), int(at[b])
 
 
-def _segments(zones: DataFrame) -> DataFrame:
-    """The stretches of words around recurring anchors."""
+SEGMENTS = "key long, part int, parts int, doc long, cls long, start long, words binary"
+
+
+def _segments(zones: DataFrame, anchors) -> DataFrame:
+    """The stretches of words around wanted anchors. zones: doc, cls, z, keys, parts (an array beside keys, or null for
+    1 each). A key's stretches are dealt out to its parts by document."""
 
     def run(batches):
         grams, unpack = Grams(), zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc, cls, z, cold in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if not cold:
+            rows, size = [], 0
+            for doc, cls, z, keys, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not keys:
                     continue
                 words = unpack(z).split()
-                least = least_anchor(grams(words)).view(np.int64)
-                for a, b in _runs(least, np.array(cold, np.int64)):
-                    for column, value in zip(rows, (int(least[a]), doc, cls, a, b" ".join(words[a : b + WINDOW])), strict=True):
-                        column.append(value)
-                if len(rows[0]) >= 5000:
-                    yield _table(rows)
-                    rows = ([], [], [], [], [])
-            yield _table(rows)
+                least = anchors(grams(words)).view(np.int64)
+                dealt = dict(zip(keys, parts, strict=True)) if parts else {}
+                turn = xxhash.xxh3_64_intdigest(str(doc).encode())
+                for a, b in _runs(least, np.array(keys, np.int64)):
+                    n = dealt.get(int(least[a]), 1)
+                    rows.append((int(least[a]), turn % n, n, doc, cls, a, b" ".join(words[a : b + WINDOW])))
+                    size += len(rows[-1][-1])
+                if len(rows) >= 5000 or size > 1 << 24:
+                    yield _arrow(rows, SEGMENTS)
+                    rows, size = [], 0
+            yield _arrow(rows, SEGMENTS)
+
+    return zones.mapInArrow(lean(run), SEGMENTS)
+
+
+def _arrow(rows: list, schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    names = [c.split() for c in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, names, strict=True)], names=[n for n, _ in names])
+
+
+def confirm(held: list[tuple]):
+    """held: (doc, cls, start, words) of one shard. Its texts as word numbers, and each distinct window, word for word,
+    with its smallest and largest document."""
+    number: dict[bytes, int] = {}
+    texts, seen = [], {}
+    for doc, _, _, words in held:
+        words = words.split(b" ")
+        text = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words))
+        texts.append(text)
+        data = text.tobytes()
+        for i in range(0, 4 * (len(text) - WINDOW + 1), 4):
+            w = data[i : i + 4 * WINDOW]
+            got = seen.get(w)
+            if got is None:
+                seen[w] = (doc, doc)
+            elif not got[0] <= doc <= got[1]:
+                seen[w] = (min(doc, got[0]), max(doc, got[1]))
+    return number, texts, seen
+
+
+def automaton_of(patterns):
+    """An automaton of (string, first document); a word is one character."""
+    import ahocorasick
+
+    out = ahocorasick.Automaton()
+    for text, first in patterns:
+        out.add_word(text, first)
+    out.make_automaton()
+    return out
 
-    def _table(rows):
-        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in rows[:4]), pa.array(rows[4], pa.binary())], names=["anchor", "doc", "cls", "start", "words"])
 
-    return zones.mapInArrow(lean(run), "anchor long, doc long, cls long, start long, words binary")
+def covered(automaton, text: str, doc: int, start: int) -> list[int]:
+    """Stretches of a text, whose first word is word ``start`` of its document, that windows of smaller documents cover."""
+    found: list[int] = []
+    for end, first in automaton.iter(text):
+        if first < doc:
+            a = start + end + 1 - WINDOW
+            if found and a <= found[-1]:
+                found[-1] = a + WINDOW
+            else:
+                found += (a, a + WINDOW)
+    return found
+
+
+def _letter(n):
+    """The n-th character that is no surrogate; 0 stands for words that no pattern has."""
+    return n + 0x800 * (n >= 0xD800)
 
 
 SPANS = "doc long, cls long, spans array<long>"
 
 
-def _locate(segments: DataFrame) -> DataFrame:
-    """Shards by anchor: windows of two documents are confirmed, compiled, and every segment is streamed through.
+def search(held: list[tuple], size: int = PATTERNS) -> list[tuple]:
+    """The spans of a shard that one task holds: its windows of two documents, ``size`` in an automaton."""
+    number, texts, seen = confirm(held)
+    recurring = [(w, first) for w, (first, final) in seen.items() if first < final]
+    rows = []
+    for i in range(0, len(recurring), size):
+        windows = np.frombuffer(b"".join(w for w, _ in recurring[i : i + size]), np.int32)
+        some = np.unique(windows)
+        letter = np.zeros(len(number), np.uint32)
+        letter[some] = _letter(np.arange(1, len(some) + 1, dtype=np.uint32))
+        said = lambda text, letter=letter: letter[text].astype("<u4").tobytes().decode("utf-32-le")
+        automaton = automaton_of(zip(map(said, windows.reshape(-1, WINDOW)), (first for _, first in recurring[i : i + size]), strict=True))
+        for (doc, cls, start, _), text in zip(held, texts, strict=True):
+            if found := covered(automaton, said(text), doc, start):
+                rows.append((doc, cls, found))
+    return rows
+
 
-    Equal windows have one anchor, so all their places are in one shard. A shard's patterns are compiled
-    ``PATTERNS`` or one anchor's at a time. A word is one character of the automaton's alphabet.
+def _locate(segments: DataFrame, limit: int, size: int) -> DataFrame:
+    """Shards by key: windows of two documents are confirmed, compiled, and every segment is streamed through.
+
+    Equal windows have one key, so all their places are in one shard, which holds ``limit`` windows or one
+    key's at a time.
     """
-    segments = segments.repartition(partitions(segments.sparkSession), "anchor").sortWithinPartitions("anchor")
+    segments = segments.repartition(partitions(segments.sparkSession), "key").sortWithinPartitions("key")
 
     def run(batches):
         held, windows, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if row[0] != last and windows >= PATTERNS:
-                    yield from search(held)
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != last and windows >= limit:
+                    yield _arrow(search(held, size), SPANS)
                     held, windows = [], 0
                 last = row[0]
                 held.append(row[1:])
                 windows += row[4].count(b" ") + 2 - WINDOW
-        yield from search(held)
+        yield _arrow(search(held, size), SPANS)
 
-    def search(held):
-        import ahocorasick
+    return segments.select("key", "doc", "cls", "start", "words").mapInArrow(lean(run), SPANS)
 
-        class Letters(dict):
-            def __missing__(self, word):
-                n = len(self) + 1
-                value = self[word] = chr(n if n < 0xD800 else n + 0x800)
-                return value
 
-        letters, seen, texts = Letters(), {}, []
-        for doc, _, _, words in held:
-            text = "".join(map(letters.__getitem__, words.split(b" ")))
-            texts.append(text)
-            for i in range(len(text) - WINDOW + 1):
-                w = text[i : i + WINDOW]
-                got = seen.get(w)
-                if got is None:
-                    seen[w] = (doc, doc)
-                elif not got[0] <= doc <= got[1]:
-                    seen[w] = (min(doc, got[0]), max(doc, got[1]))
-        automaton = ahocorasick.Automaton()
-        for w, (first, final) in seen.items():
-            if first < final:
-                automaton.add_word(w, first)
-        if not len(automaton):
-            return
-        automaton.make_automaton()
-        docs, classes, spans = [], [], []
-        for (doc, cls, start, _), text in zip(held, texts, strict=True):
-            found: list[int] = []
-            for end, first in automaton.iter(text):
-                if first < doc:
-                    a = start + end + 1 - WINDOW
-                    if found and a <= found[-1]:
-                        found[-1] = a + WINDOW
-                    else:
-                        found += (a, a + WINDOW)
-            if found:
-                docs.append(doc)
-                classes.append(cls)
-                spans.append(found)
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(classes, pa.int64()), pa.array(spans, pa.list_(pa.int64()))], names=["doc", "cls", "spans"])
-
-    return segments.mapInArrow(lean(run), SPANS)
-
-
-def _locate_hot(zones: DataFrame) -> DataFrame:
-    """The same for anchors that very many texts have: no shard could hold them, so each window goes its own way.
-
-    A window is a 128-bit number; its smallest document is a minimum that is combined before the shuffle, and
-    the join back splits windows with very many places.
+WINDOWS = "key long, parts int, words binary, first long, final long"
+
+
+def _locate_parts(segments: DataFrame, size: int) -> DataFrame:
+    """The same for keys that more windows have than a task should hold: their segments lie in parts.
+
+    Each part gives its distinct windows, word for word, with its smallest and largest document; from all parts,
+    those of two documents are a key's patterns. They are compiled into automata of about ``size`` windows,
+    and every part of the key is streamed through each of them.
     """
+    n = partitions(segments.sparkSession)
+    dealt = segments.repartition(n, "key", "part").sortWithinPartitions("key", "part")
 
-    def run(batches):
-        grams, unpack = Grams(), zstandard.ZstdDecompressor().decompress
+    def distinct(batches):
+        held, at = [], None
         for batch in batches:
-            for doc, cls, z, hot in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True):
-                if not hot:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != at:
+                    if held:
+                        yield from tell(at, held)
+                    at, held = row[:3], []
+                held.append(row[3:])
+        if held:
+            yield from tell(at, held)
+
+    def tell(at, held):
+        number, _, seen = confirm(held)
+        words, rows = [*number], []
+        for w, (first, final) in seen.items():
+            rows.append((at[0], at[2], b" ".join([words[i] for i in np.frombuffer(w, np.int32).tolist()]), first, final))
+            if len(rows) >= 5000:
+                yield _arrow(rows, WINDOWS)
+                rows = []
+        yield _arrow(rows, WINDOWS)
+
+    found = dealt.mapInArrow(lean(distinct), WINDOWS)
+    patterns = cut(found.groupBy("key", "words").agg(F.first("parts").alias("parts"), F.min("first").alias("first"), F.max("final").alias("final")).where("first < final").drop("final"))
+    chunks = patterns.groupBy("key").agg(F.first("parts").alias("parts"), F.ceil(F.count(F.lit(1)) / size).cast("int").alias("chunks"))
+    none = F.lit(None).cast("long")
+    words = patterns.join(chunks.select("key", "chunks"), "key").select("key", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.expr("cast(pmod(xxhash64(words), chunks) AS int)").alias("chunk"), F.lit(0).alias("role"), F.col("first").alias("doc"), none.alias("cls"), none.alias("start"), "words")
+    each = chunks.select("key", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "chunks")
+    texts = segments.join(each, ["key", "part"]).select("key", "part", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"), F.lit(1).alias("role"), "doc", "cls", "start", "words")
+    rows = words.unionByName(texts).repartition(n, "key", "part", "chunk").sortWithinPartitions("key", "part", "chunk", "role")
+
+    def locate(batches):
+        at, patterns, automaton, letters = None, [], None, {}
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != at:
+                    at, patterns, automaton, letters = row[:3], [], None, {}
+                _, _, _, role, doc, cls, start, words = row
+                words = words.split(b" ")
+                if role == 0:
+                    patterns.append(("".join([letters.setdefault(w, chr(_letter(len(letters) + 1))) for w in words]), doc))
                     continue
-                g = grams(unpack(z).split())
-                at = np.flatnonzero(np.isin(least_anchor(g).view(np.int64), np.array(hot, np.int64)))
-                a, b = g[32][at], g[32][at + WINDOW - 32]
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array(join(a, b).view(np.int64)), pa.array(join(a, b, 0x5BD1E995).view(np.int64)), pa.array(np.full(n, doc, np.int64)), pa.array(np.full(n, cls, np.int64)), pa.array(at.astype(np.int64))], names=["h1", "h2", "doc", "cls", "start"])
+                if automaton is None and patterns:
+                    automaton, patterns = automaton_of(patterns), []
+                if automaton is not None and (found := covered(automaton, "".join([letters.get(w, "\0") for w in words]), doc, start)):
+                    out.append((doc, cls, found))
+            yield _arrow(out, SPANS)
+
+    return rows.mapInArrow(lean(locate), SPANS)
 
-    rows = zones.mapInArrow(lean(run), "h1 long, h2 long, doc long, cls long, start long")
-    first = rows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("final")).where("first < final").drop("final")
-    return rows.join(first, ["h1", "h2"]).where("first < doc").select("doc", "cls", F.array(F.col("start"), F.col("start") + WINDOW).alias("spans"))
 
+def _recurring(places: DataFrame) -> DataFrame:
+    """Keys that two texts have, with the number of windows that have them. places: doc, cls, key, n."""
+    return places.groupBy("key").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("windows")).where("texts > 1").drop("texts")
 
-def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", held: int = HELD, patterns: int = PATTERNS) -> DataFrame:
     """id, n_words, n_removed, kept_sha256 of each row.
 
     Words are runs of characters other than ASCII white space. Every word goes that is covered by a window of
@@ -246,23 +357,32 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
        class: only its smallest document is looked at, the others go as a whole if they have 50 words.
     2. Stretches around recurring anchors are dealt out by anchor. In each shard, windows of two documents are
        confirmed word for word and compiled into Aho-Corasick automata, which locate all their places.
-       Windows of anchors in more than 4096 texts are dealt out by their own hash (see ``_locate_hot``).
+       Anchors of more than ``held`` windows are told apart by a second one; what more windows share even then
+       is dealt out in parts, which are confirmed together and located each (see ``_locate_parts``).
     3. Words covered are removed.
 
+    ``held`` windows are in one task's memory at a time, ``patterns`` windows in one automaton.
+
     Null and empty texts have no words. Null ids are no smaller than others and others are not smaller than
     them: such rows stay whole. Rows with one id don't remove one another's words. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = _scan(docs)
-    classes = rows.groupBy("key").agg(F.min("id").alias("doc"), F.first("cls").alias("cls"), F.first("anchors").alias("anchors"))
-    places = classes.where("doc IS NOT NULL").select("doc", "cls", F.explode("anchors").alias("anchor"))
-    recurring = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    hot = F.col("texts") > HOT
-    wanted = places.join(recurring, "anchor").groupBy("doc", "cls").agg(F.collect_list(F.when(~hot, F.col("anchor"))).alias("cold"), F.collect_list(F.when(hot, F.col("anchor"))).alias("hot"))
+    classes = rows.groupBy("key").agg(F.min("id").alias("doc"), F.first("cls").alias("cls"), F.first("anchors").alias("anchors"), F.first("windows").alias("windows"))
+    places = classes.where("doc IS NOT NULL").select("doc", "cls", F.explode(F.arrays_zip("anchors", "windows")).alias("a")).select("doc", "cls", "a.anchors", "a.windows").toDF("doc", "cls", "anchor", "n")
+    recurring = _recurring(places.withColumnRenamed("anchor", "key"))
+    hot = F.col("windows") > held
+    wanted = places.join(recurring.withColumnRenamed("key", "anchor"), "anchor").groupBy("doc", "cls").agg(F.collect_list(F.when(~hot, F.col("anchor"))).alias("cold"), F.collect_list(F.when(hot, F.col("anchor"))).alias("hot"))
     zones = _zones(docs, wanted)
-    spans = _locate(_segments(zones))
-    if not zones.where(F.size("hot") > 0).isEmpty():
-        spans = spans.unionByName(_locate_hot(zones))
+    spans = _locate(_segments(zones.where(F.size("cold") > 0).select("doc", "cls", "z", "cold", F.lit(None).cast("array<int>").alias("parts")), least_anchor), held, patterns)
+    many = zones.where(F.size("hot") > 0)
+    if not many.isEmpty():
+        second = cut(_second(many))
+        parts = F.ceil(F.col("windows") / held).cast("int")
+        wanted = second.join(_recurring(second).withColumn("parts", parts), "key").groupBy("doc", "cls").agg(F.collect_list(F.struct("key", "parts")).alias("keys"))
+        split = many.join(wanted, ["doc", "cls"]).select("doc", "cls", "z", F.col("keys.key").alias("keys"), F.col("keys.parts").alias("parts"))
+        split = _segments(split, second_anchor)
+        spans = spans.unionByName(_locate(split.where("parts = 1"), held, patterns)).unionByName(_locate_parts(split.where("parts > 1"), patterns))
     spans = cut(spans.groupBy("doc", "cls").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
     def strip(batches):
@@ -282,7 +402,7 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.int64()), pa.array(digests, pa.string())], names=["doc", "cls", "gone", "sha"])
 
     changed = zones.join(spans, ["doc", "cls"]).select("doc", "cls", "z", "spans").mapInArrow(lean(strip), "doc long, cls long, gone long, sha string")
-    out = rows.drop("anchors", "cls").join(classes.select("key", "doc", "cls"), "key")
+    out = rows.drop("anchors", "windows", "cls").join(classes.select("key", "doc", "cls"), "key")
     out = out.join(changed.withColumnRenamed("doc", "id"), ["id", "cls"], "left")
     copy = F.col("id").isNotNull() & (F.col("id") > F.col("doc")) & (F.col("n_words") >= WINDOW)
     out = out.select(

@@ -61,11 +61,23 @@ def test_fingerprints_compare_bytes(spark, monkeypatch):
     assert P.edited_fingerprints(df.limit(1)).count() == 1
 
 
-@pytest.mark.parametrize("hot", [4096, 1])
-def test_substrings(spark, monkeypatch, hot):
-    monkeypatch.setattr(S, "HOT", hot)
-    monkeypatch.setattr(S, "PATTERNS", 100)
+@pytest.mark.parametrize(("held", "patterns"), [(8192, 100), (300, 7), (1, 8192)])
+def test_substrings(spark, held, patterns):
+    """All anchors in one shard, some in parts, every one in parts: the same result."""
     docs = corpus()
+    docs += [(5000 + i, "a " * (60 + i) + "b " * 55) for i in range(12)]  # one anchor all along
+    check_substrings(spark, docs, held=held, patterns=patterns)
+
+
+def test_substrings_with_an_anchor_in_thousands_of_texts(spark):
+    """A passage that more than 4096 texts have, in two contexts, and a long repetitive text."""
+    passage = [f"p{i}" for i in range(70)]
+    docs = [(i, " ".join([f"a{i}", *passage, *([f"b{i}"] if i % 3 else ["tail", "x"] * 10)])) for i in range(4500)]
+    docs += [(9000, "z " * 30_000), (9001, "y " + "z " * 20_000)]
+    check_substrings(spark, docs)
+
+
+def check_substrings(spark, docs, **options):
     words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
     first = {}
     for i, t in docs:
@@ -79,7 +91,7 @@ def test_substrings(spark, monkeypatch, hot):
         gone = {p for j in range(len(w) - 49) if first[tuple(w[j : j + 50])] < i for p in range(j, j + 50)}
         kept = " ".join(x for p, x in enumerate(w) if p not in gone)
         wanted[i].append((len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
-    found = S.dedup_substrings(frame(spark, [*docs, (None, docs[50][1])])).collect()
+    found = S.dedup_substrings(frame(spark, [*docs, (None, docs[50][1])]), **options).collect()
     assert len(found) == len(docs) + 1
     for r in found:
         if r.doc_id is None:
