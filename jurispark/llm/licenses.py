@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,18 +30,82 @@ TEMPLATES = [
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2.0"),
     ("All rights reserved. No part of this publication may be reproduced without permission", "all-rights-reserved"),
 ]
-#: A line of more words is cut into blocks of so many words, each starting in the middle of the one before.
-BLOCK_WORDS = 256
-
-
-def _blocks(text: bytes):
-    for line in text.split(b"\n"):
-        words = alnum_words(line)
-        if len(words) <= BLOCK_WORDS:
-            yield words
-        else:
-            for i in range(0, len(words) - BLOCK_WORDS // 2, BLOCK_WORDS // 2):
-                yield words[i : i + BLOCK_WORDS]
+#: A text meets a template in a run of so many times the template's words: it may be wrapped, or hold other words.
+RUN = 2
+#: Whole texts and notices, with their labels. Fixed values.
+TEXTS = [
+    (
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+    documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+    rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+    persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
+    this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED
+    "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+    MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS
+    BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+    OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        "mit",
+    ),
+    (
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+    provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS
+    IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+    MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+    DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+    NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+        "isc",
+    ),
+    (
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+    following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+    this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+    distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+    promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE
+    COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+    IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+    COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+    DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR
+    BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+    (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+    POSSIBILITY OF SUCH DAMAGE.""",
+        "bsd",
+    ),
+    (
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+    License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable
+    law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
+    WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+    permissions and limitations under the License.""",
+        "apache-2.0",
+    ),
+    (
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+    License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+    version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+    implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+    details. You should have received a copy of the GNU General Public License along with this program. If not, see
+    <https://www.gnu.org/licenses/>.""",
+        "gpl-3.0",
+    ),
+    (
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+    for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
+    purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+    restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+    software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but
+    is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the
+    original software. 3. This notice may not be removed or altered from any source distribution.""",
+        "zlib",
+    ),
+    (
+        """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+    compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+    commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of
+    this software dedicate any and all copyright interest in the software to the public domain.""",
+        "unlicense",
+    ),
+]
 
 
 def token_frequencies(docs: DataFrame, tokens: set[bytes], text_col: str) -> dict[bytes, int]:
@@ -60,77 +123,116 @@ def token_frequencies(docs: DataFrame, tokens: set[bytes], text_col: str) -> dic
     return {bytes(r.token): r.n for r in rows}
 
 
-class Index:
-    """Templates' token sets in the global order (rare tokens first), and the tokens of their prefixes.
+class Size:
+    """Templates of about one size, and the blocks of text that they are joined with.
 
-    A block meets a template of size s when it holds at least m = ceil(threshold * s) of its tokens. Of the
-    s - m + 1 rarest at least one is then in the block, so only these are indexed, each with its position.
+    A block is ``2 * step`` words, and the next begins ``step`` words on, wherever lines end; step is at least
+    twice a template's words, so each run of that many words lies in a block. Both sides of the join
+    are sets in the global order (rare tokens first), a block's without tokens that no template of the size has.
     """
 
-    #: A notice may be wrapped, or hold other words: it is looked for in runs of so many times its template's words.
-    RUN = 2
-
-    def __init__(self, templates: list[tuple[str, str]], threshold: float, frequency: dict[bytes, int]):
+    def __init__(self, step: int, templates: list[tuple[list[bytes], str]], threshold: float, frequency: dict[bytes, int]):
+        self.step = step
+        order = sorted({w for words, _ in templates for w in words}, key=lambda t: (frequency.get(t, 0), t))
+        self.rank = {w: i for i, w in enumerate(order)}
         self.sets, self.index = [], {}
-        for text, label in templates:
-            words = alnum_words(text.encode())
-            tokens = sorted(set(words), key=lambda t: (frequency.get(t, 0), t))
-            if not tokens:
-                continue
+        for words, label in templates:
+            tokens = sorted({self.rank[w] for w in words})
             least = max(1, math.ceil(threshold * len(tokens) - 1e-9))
+            # of so many first tokens a block that holds ``least`` must hold one
             for at, token in enumerate(tokens[: len(tokens) - least + 1]):
                 self.index.setdefault(token, []).append((len(self.sets), at))
-            self.sets.append((frozenset(tokens), len(tokens), least, label, self.RUN * len(words)))
-        self.prefix = frozenset(self.index)
-
-    def match(self, block: set[bytes]):
-        """(label, containment) of every template that the block meets."""
-        tried = set()
-        for token in block & self.prefix:
-            for number, at in self.index[token]:
-                tokens, size, least, label, _ = self.sets[number]
-                # length: the block is large enough; position: with this as its first shared token, enough can follow
-                if number in tried or len(block) < least or size - at < least:
+            self.sets.append((frozenset(tokens), least, label, RUN * len(words)))
+        self.least = min(least for _, least, _, _ in self.sets)
+        self.prefix = frozenset(order[i] for i in self.index)
+        self.dropped = {"length": 0, "prefix": 0, "position": 0}  # what the filters spared, for tests
+
+    def candidates(self, block: list[int]) -> set[int]:
+        """Templates that a block, its ranks in order, can meet."""
+        if len(block) < self.least:
+            self.dropped["length"] += 1
+            return set()
+        first = len(block) - self.least + 1
+        self.dropped["prefix"] += len(block) - first
+        shared: Counter = Counter()
+        gone = set()
+        for i, token in enumerate(block[:first]):
+            for number, at in self.index.get(token, ()):
+                tokens, least, _, _ = self.sets[number]
+                if number in gone:
                     continue
-                tried.add(number)
-                shared = len(block & tokens)
-                if shared >= least:
-                    yield label, shared / size
-
-    def match_runs(self, words: list[bytes]):
-        """(label, greatest containment) of every template that a run of consecutive words meets, wherever lines end."""
-        seen = set(words)
-        for number in {number for token in seen & self.prefix for number, _ in self.index[token]}:
-            tokens, size, least, label, length = self.sets[number]
-            if len(seen & tokens) < least:
-                continue
-            at = [(i, w) for i, w in enumerate(words) if w in tokens]
-            held: Counter = Counter()
-            first = most = 0
-            for i, w in at:  # the run that ends here
-                held[w] += 1
-                while at[first][0] <= i - length:
-                    gone = at[first][1]
-                    held[gone] -= 1
-                    if not held[gone]:
-                        del held[gone]
-                    first += 1
-                most = max(most, len(held))
-            if most >= least:
-                yield label, most / size
+                if len(block) < least:
+                    self.dropped["length"] += 1
+                    gone.add(number)
+                # position: what both still have behind this token must be enough
+                elif shared[number] + 1 + min(len(block) - i, len(tokens) - at) - 1 < least:
+                    self.dropped["position"] += 1
+                    gone.add(number)
+                else:
+                    shared[number] += 1
+        return shared.keys() - gone
+
+    def join(self, words: list[bytes], places: list[int]):
+        """(label, greatest containment) of every template that a run of the text meets; places: where prefix tokens stand."""
+        best: dict[int, int] = {}
+        for k in sorted({k for p in places for k in (p // self.step, p // self.step - 1) if k >= 0}):
+            text = words[k * self.step : (k + 2) * self.step]
+            ranks = [*map(self.rank.get, text)]
+            for number in self.candidates(sorted({r for r in ranks if r is not None})):
+                tokens, least, _, length = self.sets[number]
+                most = best_run([(i, r) for i, r in enumerate(ranks) if r in tokens], length)
+                if most >= least:
+                    best[number] = max(most, best.get(number, 0))
+        for number, most in best.items():
+            yield self.sets[number][2], most / len(self.sets[number][0])
+
+
+def best_run(places: list[tuple[int, int]], length: int) -> int:
+    """The greatest number of different tokens in ``length`` words in a row. places: (word, token), in order."""
+    held: Counter = Counter()
+    first = most = 0
+    for i, token in places:  # the run that ends here
+        held[token] += 1
+        while places[first][0] <= i - length:
+            gone = places[first][1]
+            held[gone] -= 1
+            if not held[gone]:
+                del held[gone]
+            first += 1
+        most = max(most, len(held))
+    return most
+
+
+class Index:
+    """All templates by size."""
+
+    def __init__(self, templates: list[tuple[str, str]], threshold: float, frequency: dict[bytes, int]):
+        by_step: dict[int, list] = {}
+        for text, label in templates:
+            if words := alnum_words(text.encode()):
+                by_step.setdefault(1 << (RUN * len(words) - 1).bit_length(), []).append((words, label))
+        self.sizes = [Size(step, some, threshold, frequency) for step, some in sorted(by_step.items())]
+        self.prefix = frozenset().union(*(s.prefix for s in self.sizes))
+
+    def match(self, words: list[bytes]):
+        hits = [(i, w) for i, w in enumerate(words) if w in self.prefix]
+        for size in self.sizes:
+            if places := [i for i, w in hits if w in size.prefix]:
+                yield from size.join(words, places)
 
 
 SCAN = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
-def scan_licenses(docs: DataFrame, *, text_col: str = "text", templates=TEMPLATES, phrases=PHRASES, threshold: float = 0.75) -> DataFrame:
+def scan_licenses(docs: DataFrame, *, text_col: str = "text", templates=(*TEMPLATES, *TEXTS), phrases=PHRASES, threshold: float = 0.75) -> DataFrame:
     """Adds n_words, n_base, first_word, last_word, base_labels, labels, score to every row.
 
-    Phrases: all places where a phrase's words stand one after the other. Templates: blocks are lines (long ones
-    in overlapping parts of 256 words) and, across line ends, all runs of twice the template's words, so that
-    wrapped notices are found; a block gets a template's label when it contains at least ``threshold`` of the
-    template's distinct words. Words are ordered by the number of texts that hold them, counted over all
-    of docs. score: 1 with a phrase, else the greatest containment found, else 0.
+    Phrases: all places where a phrase's words stand one after the other. Templates: a text gets a template's
+    label when some run of twice the template's words, wherever lines end, contains at least ``threshold`` of its
+    distinct words. Such runs are found by an exact set-similarity join of overlapping blocks of the text, sized
+    by the template, with the templates: words of both are ordered by the number of texts that hold them, counted over
+    all of docs; length, the prefixes of both sides and positions leave few pairs, in which each run is looked at.
+    score: 1 with a phrase, else the greatest containment found, else 0.
 
     Null and empty texts have no words and no labels; repeated rows get the same; other columns stay, and those
     that clash with the added ones are replaced. Two passes over the texts and no shuffle of them.
@@ -148,14 +250,15 @@ def scan_licenses(docs: DataFrame, *, text_col: str = "text", templates=TEMPLATE
             return len(words), 0, None, None, "", "", 0.0
         line, starts, base = b" " + b" ".join(words) + b" ", [], set()
         for needle, label in needles:
-            i = line.find(needle)
+            i, last, word = line.find(needle), 0, 0
             while i >= 0:
-                starts.append(line.count(b" ", 0, i))
+                word, last = word + line.count(b" ", last, i), i
+                starts.append(word)
                 base.add(label)
                 i = line.find(needle, i + 1)
         found, best = set(base), 1.0 if starts else 0.0
         if not index.prefix.isdisjoint(words):
-            for label, share in chain(index.match_runs(words), *(index.match(set(block)) for block in _blocks(text))):
+            for label, share in index.match(words):
                 found.add(label)
                 best = max(best, share)
         return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(found)), best

@@ -1,7 +1,9 @@
 """Mixing, secrets, token counts, licenses, decontamination: against brute force, with odd rows."""
 
 import hashlib
+import random
 import re
+import time
 from collections import Counter as Tally
 
 import pytest
@@ -87,6 +89,71 @@ def test_tokens_against_the_library(spark):
     assert found[None].n_bytes == 0 and found[None].n_tokens == 0 and found[1].over_limit == (wanted[1] > 512)
 
 
+LICENSE_COLUMNS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def license_row(text):
+    """All columns by brute force: each phrase at each word, each template in each run of twice its words."""
+    words = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    phrases = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+    places = [(i, label) for phrase, label in phrases.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    base, labels, score = {k for _, k in places}, {k for _, k in places}, 1.0 if places else 0.0
+    for notice, label in [*licenses.TEMPLATES, *licenses.TEXTS]:
+        t = re.findall("[0-9a-z]+", notice.lower())
+        most = max((len(set(words[i : i + 2 * len(t)]) & set(t)) for i in range(len(words))), default=0)
+        if 100 * most >= 75 * len(set(t)):
+            labels.add(label)
+            score = max(score, most / len(set(t)))
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
+
+
+def test_licenses_against_brute_force(spark):
+    """Pieces of notices among other words, with words lost, doubled and put in; rows repeat, ids are null."""
+    rng = random.Random(4)
+    notices = [*licenses.TEMPLATES, *licenses.TEXTS]
+    vocabulary = sorted({w for t, _ in notices for w in t.split()})
+    texts = [None, "", "\n"]
+    for _ in range(250):
+        out = []
+        for _ in range(rng.randint(1, 3)):
+            out += [rng.choice(["and", "word", "of", "the", rng.choice(vocabulary)]) for _ in range(rng.randint(0, 60))]
+            words = rng.choice(notices)[0].split()
+            a, lost = rng.randint(0, len(words) // 3), rng.random() * 0.4
+            for w in words[a : a + rng.randint(len(words) // 2, len(words))]:
+                if rng.random() > lost:
+                    out.append(w)
+                if rng.random() < lost:
+                    out.append(rng.choice(["x", "y\n", "- ", w]))
+        texts.append(" ".join(out))
+    rows = [(None if i % 9 == 0 else i, t) for i, t in enumerate(texts)] * 2
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, ((r.text, *(r[c] for c in LICENSE_COLUMNS)) for r in found))) == sorted(map(str, ((t, *license_row(t)) for _, t in rows)))
+    assert {label for _, label in notices} <= {x for r in found for x in r.labels.split(",")}
+
+
+def test_license_filters_spare_work():
+    """Length, the block's prefix and positions each leave pairs out, and never one that meets the threshold."""
+    rng = random.Random(2)
+    frequency = {w: rng.randint(1, 10**6) for t, _ in licenses.TEMPLATES for w in alnum_words(t.encode())}
+    index = licenses.Index(licenses.TEMPLATES, 0.75, frequency)
+    for size in index.sizes:
+        for _ in range(400):
+            block = sorted(rng.sample(range(len(size.rank)), rng.randint(0, min(60, len(size.rank)))))
+            found = size.candidates(block)
+            for n, (tokens, least, _, _) in enumerate(size.sets):
+                assert n in found or len(tokens & set(block)) < least
+    for reason in ("length", "prefix", "position"):
+        assert sum(size.dropped[reason] for size in index.sizes) > 100
+
+
+def test_many_license_phrases_in_a_long_text(spark):
+    text = "the mit license and " * 40_000
+    began = time.time()
+    found = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (found.n_base, found.first_word, found.last_word) == (40_000, 1, 4 * 39_999 + 1) and time.time() - began < 30
+
+
 def test_licenses(spark):
     texts = [None, "", "CC BY cc-by Apache\nLicense MIT license mit license", "Licensed under the Apache License, Version 2.0.", "licensed " * 40, "Released  under\tthe MIT terms License x", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in software without any restriction"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("score", F.lit("own"))
@@ -95,14 +162,8 @@ def test_licenses(spark):
     assert found[3].labels == "apache,apache-2.0" and found[0].labels == "" and found[0].first_word is None
     assert found[5].base_labels == "" and found[5].labels == "mit" and found[4].labels == ""
     assert found[6].labels == "mit" and 0.75 <= found[6].score < 1
-    for r in found.values():  # every pair of a block and a template that meets the threshold
-        wanted = set(r.base_labels.split(",")) - {""}
-        for block in licenses._blocks((r.text or "").encode()):
-            for text, label in licenses.TEMPLATES:
-                t = set(alnum_words(text.encode()))
-                if len(t & set(block)) >= 0.75 * len(t):
-                    wanted.add(label)
-        assert r.labels == ",".join(sorted(wanted))
+    for r in found.values():
+        assert tuple(r[c] for c in LICENSE_COLUMNS) == license_row(r.text)
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
@@ -126,11 +187,10 @@ def test_licenses_wrapped(spark):
     assert [found[i].labels for i in range(len(wanted), len(texts))] == ["", "", ""]
     for i, text in enumerate(texts):
         words, labels = re.findall("[0-9a-z]+", (text or "").lower()), set(found[i].base_labels.split(",")) - {""}
-        lines = [set(re.findall("[0-9a-z]+", line)) for line in (text or "").lower().split("\n")]
-        for notice, label in licenses.TEMPLATES:
+        for notice, label in [*licenses.TEMPLATES, *licenses.TEXTS]:
             t = re.findall("[0-9a-z]+", notice.lower())
             runs = [set(words[at : at + 2 * len(t)]) for at in range(len(words))]
-            if any(len(block & set(t)) >= 0.75 * len(set(t)) for block in runs + lines):
+            if any(len(block & set(t)) >= 0.75 * len(set(t)) for block in runs):
                 labels.add(label)
         assert found[i].labels == ",".join(sorted(labels))
 
