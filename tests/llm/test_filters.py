@@ -222,3 +222,46 @@ def test_decontamination(spark, block_bytes):
     kept = D.decontaminate(df, tests, block_bytes=block_bytes)
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 7]
     assert D.decontaminate(df.limit(0), tests).count() == 0 and D.decontaminate(df, tests.limit(0)).count() == len(texts) + 1
+
+
+def test_decontamination_in_many_blocks(spark, monkeypatch):
+    """Items that fill more than 50 blocks, short, equal and overlapping ones among them, against brute force."""
+    rng = random.Random(11)
+    word = lambda: rng.choice("abcdefgh") if rng.random() < 0.7 else f"w{rng.randint(0, 40)}"
+    bench = [(i % 190, " ".join(word() for _ in range(rng.choice([1, 2, 9, 10, 11, 15, 30])))) for i in range(230)]
+    bench = [(i, t) for i, t in bench if len(t) > 3]
+    docs = []
+    for i in range(120):
+        w = [word() for _ in range(rng.randint(0, 40))]
+        t = rng.choice(bench)[1].split()
+        docs.append((i, " ".join([*w, *t[: rng.randint(0, len(t))], *[word() for _ in range(3)]])))
+    docs += [(200, None), (201, ""), (202, docs[3][1]), (None, docs[4][1])]
+    df, tests = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    monkeypatch.setattr(D, "BLOCK_TEXTS", 7)
+    monkeypatch.setattr(D, "FILTER_BITS", 12)
+    size = sum(len(t) for _, t in bench)
+    found = [sorted(map(str, D.find_contamination(df, tests, block_bytes=b).collect())) for b in (10**6, size // 26)]
+    assert found[0] == found[1]
+    for r in D.find_contamination(df, tests).collect():
+        w, hit, items, longest = (r.text or "").split(), set(), set(), 0
+        for item, text in bench:
+            t = text.split()
+            n = min(10, len(t))
+            for j in range(len(t) - n + 1):
+                for p in range(len(w) - n + 1):
+                    if w[p : p + n] == t[j : j + n]:
+                        hit |= set(range(p, p + n))
+                        items.add(str(item))
+                        longest = max(longest, next((k for k in range(n, len(t) - j) if w[p + k : p + k + 1] != [t[j + k]]), len(t) - j))
+        assert r.items == sorted(items) and r.longest == longest and r.n_words == len(w)
+        assert sum(r.spans[1::2]) - sum(r.spans[::2]) == len(hit)
+
+
+def test_decontamination_of_items_that_are_everywhere():
+    """Many items with one short text take no more places than the text has."""
+    tests = D.Tests([(i, b"the") for i in range(3000)] + [(i, b"of the same ten words that all of these items have") for i in range(300)])
+    texts = [b"the of the same ten words that all of these items " * 4000]
+    query, _, _, match = D.occurrences([alnum_words(t) for t in texts], tests)
+    assert len(query) < 4000 * 5 and match.max() == 10
+    ((n, _, items, longest),) = D._hits(texts, tests)
+    assert n == 44_000 and len(items) == 3000 and longest == 10
