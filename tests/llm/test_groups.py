@@ -139,6 +139,40 @@ def test_near_groups(spark, monkeypatch, crowd, block, sparse):
     assert kept.where("doc_id IS NULL").count() == 1
 
 
+@pytest.mark.parametrize("unique", [(14, 24), (10, 40)])
+def test_near_groups_of_mostly_one_text(spark, monkeypatch, unique):
+    """Documents that share most of their words, around the threshold: tokens that all have don't hide links."""
+    monkeypatch.setattr(N, "CROWD", 10)
+    monkeypatch.setattr(N, "BLOCK", 16)
+    monkeypatch.setattr(N, "PARTNERS", 1)
+    monkeypatch.setattr(N, "noise_of", lambda estimate: 4.0)
+    rng = random.Random(unique[0])
+    common = [f"c{i}" for i in range(90)]
+    docs = []
+    for i in range(150):
+        k, cut = rng.randint(*unique), rng.randint(0, 25)
+        docs.append((i, " ".join([*common[cut:], *(f"u{i}-{j}" for j in range(k))])))
+    docs += [(1000 + i, " ".join([*t.split()[:-2], "x"])) for i, t in docs[:20]]
+    wanted = groups_of(docs)
+    assert {r.doc_id: r.component_id for r in N.near_groups(frame(spark, docs)).collect()} == wanted
+    assert 1 < len(set(wanted.values())) < len(docs)
+
+
+def test_sketch_of_much_text():
+    """Frequent tokens stand out although all counters are crowded, and rare ones don't."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    total = np.zeros(N.COUNTERS, np.int32)
+    for _ in range(20):
+        np.add.at(total, *N._cells(rng.integers(0, 1 << 63, 2_000_000).astype(np.uint64)))
+    often = rng.integers(0, 1 << 63, 50).astype(np.uint64)
+    cell, sign = N._cells(often)
+    np.add.at(total, cell, sign * 400)
+    noise = N.noise_of(total.astype(np.float32))
+    assert noise < 120 and (total[cell] * sign > noise).all()
+
+
 def test_near_groups_of_nothing(spark):
     assert N.near_groups(frame(spark, corpus()).limit(0)).count() == 0
     alone = N.near_groups(frame(spark, [(1, None), (2, ""), (None, "x"), (3, "x")])).collect()
