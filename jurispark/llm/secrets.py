@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jurispark.functions.text import let
+
 #: The kinds in the order in which spans with one start are listed. Fixed values.
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: Candidates that are no secrets: words, numbers, repeated characters, placeholders, paths of words.
-ALLOWED = (r"^[A-Za-z_=/+-]+$", r"^[0-9_=/+-]+$", r"(.)\1{7}", r"(?i)example|placeholder|changeme|dummy|sample|your_|xxxx")
-#: Characters in a window, and bits a character that a window of each class must reach.
-WINDOW, HEX_BITS, MIXED_BITS = 20, 3.0, 3.8
+#: Parts of a candidate that are no secrets: parts of a path with a placeholder's word, a character over and over. They
+#: are cut out, and what is left is judged.
+PLACEHOLDERS = r"(?i)[^/=]*(?:example|placeholder|changeme|dummy|sample|your_|xxxx)[^/=]*|([A-Za-z0-9+/_=-])\1{7,}"
+#: Characters in a window, and bits a character that a window must reach, by the class of what it stands in: the first
+#: whose characters are all that there are. Without bits no entropy makes a secret: words and paths, and numbers.
+WINDOW = 20
+CLASSES = (("words", "A-Za-z_=/+-", None), ("numbers", "0-9_=/+-", None), ("hex", "0-9a-fA-F", 3.0), ("alphanumeric", "A-Za-z0-9", 3.8), ("base64", "A-Za-z0-9+/=", 3.8), ("base64url", "A-Za-z0-9_=-", 3.8), ("mixed", "A-Za-z0-9+/_=-", 3.9))
+#: Matches whose places are summed up together.
+CHUNK = 512
 
 
 def _spans(text: Column, pattern: str, kind: str) -> Column:
@@ -31,9 +38,17 @@ def _spans(text: Column, pattern: str, kind: str) -> Column:
         one = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), pair["found"].alias("found"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
+    # places are summed up in chunks, so that a text with very many matches doesn't copy a long array for each
     pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("between"), found.alias("found"))
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda s: s["out"])
-    return F.when(text.rlike(pattern), placed).otherwise(none)
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda k: F.slice(pairs, k * CHUNK + 1, CHUNK))
+    placed = F.transform(chunks, lambda chunk: F.aggregate(chunk, F.struct(F.lit(0).alias("at"), none.alias("out")), add))
+    ends = lambda state, chunk: F.struct((state["at"] + chunk["at"]).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+    offsets = lambda p: F.aggregate(p, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), ends, lambda state: state["out"])
+
+    def move(chunk: Column, by: Column) -> Column:
+        return F.transform(chunk["out"], lambda s: F.struct((s["start"] + by).alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), (s["end"] + by).alias("end"), s["found"].alias("found")))
+
+    return F.when(text.rlike(pattern), F.flatten(let(placed, lambda p: F.zip_with(p, offsets(p), move)))).otherwise(none)
 
 
 def _entropy(string: Column) -> Column:
@@ -67,8 +82,8 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", out: str = "secrets
 
     assign: a secret's name, then ``:`` or ``=``, then a value of 12 or more characters; access: AKIA and 14 or
     more; hex: 16 or more of 0-9a-f. A match whose value is too short is dropped, and the scan goes on behind
-    it. entropy: strings of 20 or more of ``[A-Za-z0-9+/_=-]`` with a window of high entropy for their class
-    (hex digits only, or mixed), but for those on the allow-list.
+    it. entropy: strings of 20 or more of ``[A-Za-z0-9+/_=-]`` that hold a window of high entropy for its class (see
+    ``CLASSES``); what the allow-list names is cut out before, so that a placeholder hides itself only.
 
     Null texts and texts without secrets get an empty array. Each row is judged by itself: repeated rows get
     equal arrays, and all other columns stay as they are (a column named like ``out`` is replaced).
@@ -80,10 +95,15 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", out: str = "secrets
 
 
 def _is_random(string: Column) -> Column:
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | string.rlike(pattern)
-    return F.when(allowed, False).otherwise(_entropy(string) >= F.when(string.rlike("^[0-9a-fA-F]+$"), HEX_BITS).otherwise(MIXED_BITS))
+    """Whether a window of the string, outside of placeholders, has the entropy of its class."""
+
+    def judged(part: Column) -> Column:
+        least = F.lit(None).cast("double")
+        for _, characters, bits in reversed(CLASSES):
+            least = F.when(part.rlike(f"^[{characters}]+$"), F.lit(bits).cast("double")).otherwise(least)
+        return F.when(F.length(part) < WINDOW, False).otherwise(F.coalesce(let(least, lambda bits: F.when(bits.isNull(), False).otherwise(_entropy(part) >= bits)), F.lit(False)))
+
+    return F.exists(F.split(F.regexp_replace(string, PLACEHOLDERS, " "), " "), judged)
 
 
 def digest(docs: DataFrame, secrets: str = "secrets") -> list[Column]:

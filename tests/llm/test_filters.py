@@ -69,6 +69,27 @@ def test_secrets_against_expressions(spark):
     assert clean[3] == 'é😀 [REDACTED]" x' and clean[0] is None and clean[1] == ""
 
 
+def test_secrets_by_class(spark):
+    """Placeholders hide their own part only; each class of characters has its own bound; nothing else counts."""
+    rng = random.Random(6)
+    token = lambda letters, n: "".join(rng.sample(letters * (1 + n // len(letters)), n))
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alnum = token(low + up + digits, 40)
+    texts = {f"srv/example/{alnum}": 1, f"key_xxxx_{alnum[:20]}": 0, "=" * 30 + alnum: 1, alnum[:19]: 0, token("0123456789ABCDEF", 32): 1, "0A" * 20: 0, "some/path/to/ordinary/words_and-names": 0, token(digits, 30): 0, token(low + up + digits + "+/", 44) + "==": 1, token(low + up + digits + "_-", 44): 1, "": 0, None: 0}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string").withColumn("doc_id", F.when(F.col("doc_id") != 3, F.col("doc_id")))
+    for r in secrets.find_secrets(df).collect():
+        assert sum(s.kind == "entropy" for s in r.secrets) == texts[r.text], r.text
+    assert secrets.find_secrets(df.limit(0)).count() == 0 and secrets.redact(df.limit(0)).count() == 0
+
+
+def test_secrets_of_a_long_text(spark):
+    """Places stay right over thousands of matches, in time in proportion."""
+    text = "é 0123456789abcdef\n" * 20_000
+    began = time.time()
+    (found,) = secrets.find_secrets(spark.createDataFrame([(text,)], "text string")).collect()[0][1:]
+    assert [(s.start, s.end) for s in found] == [(19 * i + 2, 19 * i + 18) for i in range(20_000)] and time.time() - began < 60
+
+
 def test_window_entropy(spark):
     import math
 
