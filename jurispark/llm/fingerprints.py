@@ -127,8 +127,11 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     marks = thin.join(shared, "digest", "left_semi").select("block", F.lit(0).alias("tail"), "id", "h", F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("body"))
     stream = docs.mapInArrow(lean(units), UNIT).unionByName(marks).repartition(partitions(spark), "block").sortWithinPartitions("block", "tail", "id", "h", "kind")
     rows = cut(stream.mapInArrow(lean(lambda batches: _edit(batches, share)), EDITED))
-    # an edited text that falls into a bucket was compared in _edit with its own text; buckets of texts are compared here
-    rows = _named(rows.drop("canon"), _colliding(rows), {"fingerprint": ("digest", "second"), "edited_fingerprint": ("edited_digest", "edited_second")})
+    # buckets of texts are compared by their bytes; an edited text was compared with its own text in _edit, and with
+    # the other members of the bucket it falls into by the second digest, as its bytes are nowhere together with theirs
+    both = rows.select("digest", "second").unionByName(rows.select(F.col("edited_digest").alias("digest"), F.col("edited_second").alias("second")))
+    unlike = both.groupBy("digest").agg(F.min("second").alias("a"), F.max("second").alias("b")).where("a <> b").select("digest")
+    rows = _named(rows.drop("canon"), _colliding(rows).union(unlike).distinct(), {"fingerprint": ("digest", "second"), "edited_fingerprint": ("edited_digest", "edited_second")})
     return rows.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
