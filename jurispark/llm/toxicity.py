@@ -83,6 +83,7 @@ class Decoder:
         share = counts / max(1, counts.sum())
         self.reward = -float((share * self.log).sum()) if counts.sum() else 3.0  # mean cost of a letter: long readings are not punished
         self.code = {c: i + 1 for i, c in enumerate(LETTERS)}
+        self.read: dict = {}
         self.costs = (self.log + self.reward).tolist()
         self.whole = np.rint((self.log + self.reward) * 4096).astype(np.int64)
         self.behind = 2 * int(self.whole.max() - self.whole.min()) + 1
@@ -157,11 +158,46 @@ class Decoder:
 
     def masked(self, word: str, gaps: bool) -> str:
         """The likeliest reading in which each star is a stage of its own: one letter, or with ``gaps`` a letter or
-        nothing. Costs are whole numbers of 1/4096, so in a long run of stars the scores, taken from the best one, come
-        round again, and the way through is that of one round, over and over. Scores are
-        kept for every 256th stage and worked out again on the way back."""
+        nothing.
+
+        Costs depend on two letters, so behind two plain ones nothing of what came before counts. What lies
+        between such places is read by itself, and short stretches are remembered.
+        """
+        runs = [(m[1], len(m[0])) for m in RUNS.finditer(word)]
+        plain = [n == 1 and c not in LEET for c, n in runs]
+        out, a, b, i = [], 0, 0, 0
+        while i < len(runs):
+            if plain[i]:
+                out.append(runs[i][0])
+                a, b, i = b, self.code.get(runs[i][0], 0), i + 1
+                continue
+            j = i + 3
+            while j < len(runs) and not (plain[j - 2] and plain[j - 1]):
+                j += 1
+            part = "".join(c * n for c, n in runs[i:j])
+            key = (a, b, part, gaps, j >= len(runs))
+            reading = self.read.get(key)
+            if reading is None:
+                reading = self._stretch(part, gaps, a, b, j >= len(runs))
+                if len(part) <= 32:
+                    if len(self.read) > 100_000:
+                        self.read.clear()
+                    self.read[key] = reading
+            out.append(reading)
+            if j < len(runs):
+                a, b = self.code.get(runs[j - 2][0], 0), self.code.get(runs[j - 1][0], 0)
+            i = j
+        return "".join(out)
+
+    def _stretch(self, word: str, gaps: bool, a: int, b: int, ends: bool) -> str:
+        """The best way on from the letters a, b, to a word's end if it ends here.
+
+        Costs are whole numbers of 1/4096, so in a long run of stars the scores, taken from the best one, come round
+        again, and the way through is that of one round, over and over. Scores are kept for every 256th stage and
+        worked out again on the way back.
+        """
         score = np.full((SYMBOLS, SYMBOLS), NEVER, np.int64)
-        score[0, 0] = 0
+        score[a, b] = 0
         stages, kept, last, rounds = [], [], [], {}
 
         def add(stage):
@@ -197,7 +233,8 @@ class Decoder:
                     left, limit = left % since, 0
                 elif mark is None or since == limit:
                     mark, since, limit = (form, score), 0, 2 * limit
-        a, b = map(int, np.unravel_index(int(np.where(score > NEVER, score + self.whole[:, :, 0], NEVER).argmax()), score.shape))
+        final = np.where(score > NEVER, score + self.whole[:, :, 0] * ends, NEVER)
+        a, b = map(int, np.unravel_index(int(final.argmax()), score.shape))
         out = []
         for block in range(len(kept) - 1, -1, -1):
             here = stages[block * 256 : block * 256 + 256]
