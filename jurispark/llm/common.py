@@ -25,7 +25,7 @@ BATCH_ROWS = 2000
 def lean_batches(spark: SparkSession) -> None:
     """Smaller Arrow batches, unless the session has a setting of its own."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
+    if not spark._jsparkSession.sessionState().conf().contains(key):
         spark.conf.set(key, str(BATCH_ROWS))
 
 
@@ -47,15 +47,19 @@ def lean(run):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. In local mode without one, a temporary folder."""
+    """This session's part of the folder that driver and executors share, spark.checkpoint.dir; it goes when the session
+    ends. In local mode without one, a temporary folder."""
     lean_batches(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
-        if where is None and not sc.master.startswith("local["):
+        if where is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="jurispark-"))
-    return sc.getCheckpointDir()
+    folder = sc.getCheckpointDir()
+    where = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -95,6 +99,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns or ["*"])
 
 
+def numbered_columns(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list]:
+    """docs with columns named by number, their new names, and what gives them their names back: so none clashes with a
+    column that an operator adds."""
+    new = {c: f"__{i}" for i, c in enumerate(docs.columns)}
+    return docs.select([F.col(f"`{c}`").alias(n) for c, n in new.items()]), new, [F.col(n).alias(c) for c, n in new.items()]
+
+
 def raw(column: pa.Array) -> list[bytes | None]:
     """A string column's UTF-8 bytes, without decoding them."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

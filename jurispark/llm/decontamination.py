@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import alnum_words, cut, lean, partitions, raw
+from jurispark.llm.common import alnum_words, cut, lean, numbered_columns, partitions, raw
 
 #: Words of a window; words of text in one suffix array; bytes of test text that are sent to the executors, or held by
 #: one task, at a time; texts that one task holds against a block of them; bits of the filter of windows.
@@ -332,9 +332,10 @@ def _search(docs: DataFrame, tests: Tests, text_col: str) -> DataFrame:
     return docs.mapInArrow(lean(run), f"{fields}, {HITS}")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Rows of docs without any hit, with the columns of docs; options as for ``find_contamination``."""
-    return find_contamination(docs, benchmark, **options).where(F.size("spans") == 0).select(docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
+    """Rows of docs without any hit, with the columns of docs as they are; options as for ``find_contamination``."""
+    own, new, back = numbered_columns(docs)
+    return find_contamination(own, benchmark, text_col=new[text_col], **options).where(F.size("spans") == 0).select(back)
 
 
 def summarise(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

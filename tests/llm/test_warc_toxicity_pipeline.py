@@ -264,3 +264,81 @@ def test_pipeline(spark):
     assert find_secrets(kept["secrets"]).where("exists(secrets, s -> s.rank < 3)").count() == 0
     run = corpus_pipeline.run(spark, SF)
     assert sorted((r.doc_id, r.copy) for r in run.collect()) == sorted((r.doc_id, r.copy) for r in kept["mixture"].collect())
+
+
+def plain_pipeline(docs, bench, folder):
+    """The stages one by one in plain Python, and the mix in SQL. docs: (id, text, source, toxic)."""
+    import re
+    from collections import Counter
+
+    import duckdb
+    import pandas as pd
+
+    from jurispark.llm.mixing import MIX_SQL
+    from tests.llm.test_groups import groups_of
+
+    kept = [(i, t, s) for i, t, s, toxic in docs if not toxic]
+    group = groups_of([(i, t) for i, t, _ in kept if i is not None])
+    words = lambda t: re.findall("[0-9a-z]+", (t or "").lower())
+    least = {}
+    for row in sorted(kept, key=lambda r: (r[1] is not None, r[1] or "")):
+        least.setdefault(row[0], row)
+    kept = [r for r in least.values() if group.get(r[0]) == r[0] or not words(r[1])]
+    grams = {tuple(w[j : j + 10]) for _, t in bench for w in [words(t)] for j in range(len(w) - 9)}
+    kept = [r for r in kept if not any(tuple(words(r[1])[j : j + 10]) in grams for j in range(len(words(r[1]))))]
+    mask = re.compile(r"""(?i:password|token)\x20*[:=]\x20*[A-Za-z0-9+/_.=-]{12,}|AKIA[A-Z0-9]{14,}|(?<![0-9a-f])[0-9a-f]{16,}""")
+    kept = [(i, None if t is None else mask.sub("[REDACTED]", t), s) for i, t, s in kept]
+    c = duckdb.connect()
+    c.register("documents", pd.DataFrame(kept, columns=["doc_id", "text", "source"]))
+    copies = {int(i): int(n) for i, n in c.sql(MIX_SQL).df()[["doc_id", "copies"]].itertuples(index=False)}
+    return Counter({(i, t, s): copies[i] for i, t, s in kept if copies[i]})
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    """run() over a corpus with known toxic documents, near copies, passages, secrets, odd rows and clashing columns."""
+    from collections import Counter
+
+    rng = random.Random(9)
+    good = [f"{a}{b}" for a in ("cour", "jud", "cla", "hear", "par", "fin", "ord") for b in ("ta", "ge", "im", "ing", "ty", "der")]
+    bad = "idiot moron scum loser".split()
+    bench = [(i, " ".join(f"q{i}x{j}" for j in range(rng.randint(10, 20)))) for i in range(12)]
+    docs = []
+    for i in range(700):
+        words = [rng.choice(good) for _ in range(rng.randint(12, 70))]
+        toxic = i % 4 == 0
+        for k in range(5 if toxic else 0):
+            words.insert(rng.randrange(len(words)), bad[k % 4])
+        if i % 13 == 1:
+            words[3:3] = rng.choice(bench)[1].split()[: rng.choice([9, 10, 20])]
+        if i % 17 == 2:
+            words.insert(5, rng.choice(["password = Abcdef123456789", "token:zzzzyyyyxxxx1", "AKIA" + "Q7" * 9, "deadbeef" * 3]))
+        docs.append((i, " ".join(words), rng.choice(["web", "web", "book", None]), toxic))
+    docs += [(1000 + i, docs[i][1] + " more", "copy", docs[i][3]) for i in range(0, 120, 3)]
+    docs += [(2000, None, "web", False), (2001, "", "web", False), (2002, " ", None, False)]
+    labels = [(i, int(toxic)) for i, _, _, toxic in docs]
+    columns = "doc_id long, text string, source string, score string, predicted string, spans string, size string"
+    spark.createDataFrame([(i, t, s, "own", "own", "own", "own") for i, t, s, _ in docs], columns).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.columns == [*(c.split()[0] for c in columns.split(", ")), "copy"]
+    rows = found.collect()
+    assert {r.score for r in rows} == {r.size for r in rows} == {"own"}
+    assert Counter((r.doc_id, r.text, r.source) for r in rows) == plain_pipeline(docs, bench, tmp_path)
+
+
+def test_stages_of_odd_rows(spark, tmp_path):
+    """Each stage over null, empty, repeated and very long rows, and over an empty table."""
+    long = " ".join(f"w{i % 977}" for i in range(200_000))
+    rows = [(None, None, None), (None, "same words here", "a"), (None, "same words here", "a"), (1, "", "a"), (2, None, "a"), (3, long, "b"), (4, long + " end", "b"), (5, "x y z", None), (5, "x y z", None), (6, "token = abcdefghijklmn", "c")]
+    docs = spark.createDataFrame([(*r, "own") for r in rows], "doc_id long, text string, source string, longest string")
+    spark.createDataFrame([(1, 0), (3, 0), (None, 1), (6, None)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None), (None, "x y")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    wanted = {"toxicity": 10, "near_duplicates": 8, "benchmark": 8, "secrets": 10}
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, str(tmp_path)).collect()
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        if name in wanted:
+            assert len(found) == wanted[name], name
+        assert {r.longest for r in found} == {"own"}
+        assert name != "secrets" or {r.text for r in found if r.doc_id == 6} == {"[REDACTED]"}
