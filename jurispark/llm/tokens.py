@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from jurispark.llm.common import lean, raw
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens whose counts a worker remembers; beyond it the memory starts anew.
 REMEMBERED, REMEMBERED_BYTES = 400_000, 64
+#: Pre-tokens that are held at a time.
+HELD = 200_000
 
 
 def byte_characters() -> list[str]:
@@ -102,25 +105,32 @@ class Counter:
         import regex
 
         self.merges, self.seen = Merges(path), {}
-        self.split = regex.compile(PATTERN).findall
+        self.split = regex.compile(PATTERN).finditer
         self.at_special = regex.compile("|".join(map(regex.escape, self.merges.special))).split if self.merges.special else None
 
+    def _pretokens(self, texts: list[str], extra: list[int]):
+        """(text, pre-token) of all texts; special tokens' strings are counted in ``extra``."""
+        for i, text in enumerate(texts):
+            pieces = self.at_special(text) if self.at_special else [text]
+            extra[i] += len(pieces) - 1
+            for piece in pieces:
+                for m in self.split(piece):
+                    yield i, m[0]
+
     def __call__(self, texts: list[str]) -> list[int]:
-        """A special token's string in a text is that one token; what lies between is counted by itself."""
-        if len(self.seen) > REMEMBERED:
-            self.seen = {}
-        out: list[int] = []
-        for i in range(0, len(texts), 256):
-            parts, extra = [], []
-            for text in texts[i : i + 256]:
-                pieces = self.at_special(text) if self.at_special else [text]
-                extra.append(len(pieces) - 1)
-                parts.append([t for p in pieces for t in self.split(p)] if len(pieces) > 1 else self.split(text))
-            new = list({t for p in parts for t in p} - self.seen.keys())
-            count = dict(zip(new, self.merges.count([t.encode() for t in new]).tolist(), strict=True)) if new else {}
+        """A special token's string in a text is that one token; what lies between is counted by itself. ``HELD``
+        pre-tokens are in memory at a time, however long a text is."""
+        out = [0] * len(texts)
+        stream = self._pretokens(texts, out)
+        while held := list(islice(stream, HELD)):
+            if len(self.seen) > REMEMBERED:
+                self.seen = {}
             known = self.seen
-            known.update(count)
-            out += [sum(map(known.__getitem__, p)) + n for p, n in zip(parts, extra, strict=True)]
+            new = list({t for _, t in held} - known.keys())
+            if new:
+                known.update(zip(new, self.merges.count([t.encode() for t in new]).tolist(), strict=True))
+            for i, t in held:
+                out[i] += known[t]
             for t in new:
                 if len(t) > REMEMBERED_BYTES:
                     del known[t]

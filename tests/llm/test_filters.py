@@ -98,6 +98,19 @@ def test_window_entropy(spark):
     assert spark.createDataFrame([(s,)], "s string").select(secrets._entropy(F.col("s"))).first()[0] == pytest.approx(best)
 
 
+def test_tokens_of_long_repeated_and_no_rows(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    long = "the court of appeal, 1234! é " * 60_000 + "x" * 20_000
+    rows = [(1, long), (None, "a b"), (None, "a b"), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_tokens", F.lit("own"))
+    n = len(tokenizers.Tokenizer.from_file(path).encode(long, add_special_tokens=False).ids)
+    two = len(tokenizers.Tokenizer.from_file(path).encode("a b", add_special_tokens=False).ids)
+    found = tokens.count_tokens(df, path).collect()
+    assert Tally(tuple(r) for r in found) == Tally([(1, len(long.encode()), n, True), (None, 3, two, False), (None, 3, two, False), (2, 0, 0, False), (3, 0, 0, False)])
+    assert tokens.count_tokens(df.limit(0), path).count() == 0
+
+
 def test_tokens_against_the_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
