@@ -14,6 +14,7 @@ _CJK = "".join(f"{chr(a)}-{chr(b)}" for a, b in CJK_RANGES)
 _SPACES = re.compile(rf"(?<=[{_CJK}]) +(?=[{_CJK}])")
 _RUN = re.compile(f"[{MARKERS}]+")
 _TWO_X = re.compile(f"[{X_MARKERS}]{{2}}")
+#: Forms of templates, products, dates, junk lines, numbers and roles. Fixed values.
 TEMPLATE = re.compile(r"\{\{PRC-redact\|(\d+)\}\}")
 _TEMPLATES = re.compile(r"(?:\{\{PRC-redact\|\d+\}\}){2,}")
 _TOUCHING = re.compile(rf"[{MARKERS}]*(?:\{{\{{PRC-redact\|\d+\}}\}}[{MARKERS}]*)+")
