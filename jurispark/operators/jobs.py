@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from jurispark.functions import metadata as M
 from jurispark.functions import pages as P
-from jurispark.functions import plain
+from jurispark.functions import plain, rebuild
 from jurispark.functions import text as T
 from jurispark.functions import wiki as W
 from jurispark.functions.chars import CITIES
@@ -239,3 +239,30 @@ def infer_from_text(pages: DataFrame, *, cities=CITIES) -> DataFrame:
     dates = F.regexp_extract_all("shown", F.lit(r"([〇零一二三四五六七八九]{4}年[一二三四五六七八九十]+月[一二三四五六七八九十]+日|\d{4}年\d{1,2}月\d{1,2}日)"), F.lit(1))
     rows = rows.withColumn("date", M.date_of_text(F.when(F.size(dates) > 0, F.element_at(dates, -1))))
     return rows.withColumn("place", M.location(F.col("court"), cities)).drop("shown", "head")
+
+
+def rebuild_pages(pages: DataFrame, *, drop_intro: bool = True) -> DataFrame:
+    """pages: title, content, values (a map of header parameters). title, content in its new form, and error for pages that
+    can't be rebuilt (content is null then)."""
+
+    def rule(title, content, values):
+        try:
+            return title, rebuild.rebuild_page(content, dict(values or {}), drop_intro=drop_intro), None
+        except ValueError as e:
+            return title, None, str(e)
+
+    return _texts(pages, rule, "title string, content string, error string", ["title", "content", "values"])
+
+
+def split_intros(pages: DataFrame) -> DataFrame:
+    """pages: title, content. Pages with an introduction below its marker: the text without it, with court, type and number
+    in the header and a linked title; error where that can't be told."""
+
+    def rule(title, content):
+        try:
+            text, values = rebuild.take_intro(content or "")
+            return title, values["court"], values["type"], values["案号"], rebuild.set_params(text, values, link_title=True), None
+        except ValueError as e:
+            return title, None, None, None, None, str(e)
+
+    return _texts(pages, rule, "title string, court string, doc_type string, case_number string, content string, error string", ["title", "content"])
