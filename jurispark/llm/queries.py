@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jurispark.llm.common import cut, delete, table
 from jurispark.llm.decontamination import find_contamination, summarise
 from jurispark.llm.fingerprints import edited_fingerprints
-from jurispark.llm.licenses import scan_licenses
+from jurispark.llm.licenses import PHRASES, TEMPLATES, TEXTS, scan_licenses
 from jurispark.llm.mixing import MIX_SQL, mix
 from jurispark.llm.ngram_join import near_groups
 from jurispark.llm.secrets import digest, find_secrets
@@ -17,6 +17,66 @@ from jurispark.llm.tokens import count_tokens
 from jurispark.llm.toxicity import held_out, score_toxicity
 from jurispark.llm.warc import WARC_SQL, archive_path, page_records, read_warc, write_warc
 
+#: Words of texts, A-Z lower-cased: alphanumeric ones, and runs without white space.
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = "regexp_extract_all(coalesce(" + _LOWER.format("text") + ", ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_RUNS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+#: Every window of 50 words with the smallest document that it starts in; words of windows that start earlier go.
+SUBSTRING_SQL = f"""
+WITH d AS (SELECT doc_id, {_RUNS.format("text")} AS w FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p:p+49], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d)),
+gone AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY t) AS first FROM win) WHERE first < doc_id),
+edges AS (SELECT doc_id, spot, sum(step) AS step FROM (SELECT doc_id, p AS spot, 1 AS step FROM gone UNION ALL SELECT doc_id, p + 50, -1 FROM gone) GROUP BY ALL),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+covered AS (SELECT w.doc_id, w.p, w.word, sum(coalesce(e.step, 0)) OVER (PARTITION BY w.doc_id ORDER BY w.p) > 0 AS hit FROM words w LEFT JOIN edges e ON e.doc_id = w.doc_id AND e.spot = w.p)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, CAST(count(*) FILTER (hit) AS BIGINT) AS n, string_agg(word, ' ' ORDER BY p) FILTER (NOT hit) AS kept FROM covered GROUP BY doc_id) USING (doc_id)
+"""
+#: All pairs of texts with a common shingle, those of 0.75 and more as links, and the least document that links lead to.
+NEAR_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_RUNS.format(_LOWER.format("text"))} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s FROM d),
+texts AS (SELECT min(doc_id) AS doc, s FROM (SELECT doc_id, list_sort(s) AS s FROM s) WHERE len(s) > 0 GROUP BY s),
+token AS (SELECT doc, len(s) AS n, unnest(s) AS t FROM texts),
+link AS (SELECT a.doc AS x, b.doc AS y FROM token a JOIN token b ON a.t = b.t AND a.doc < b.doc AND 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n GROUP BY a.doc, b.doc, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc, doc AS root FROM texts UNION SELECT ways.y, reach.root FROM reach JOIN ways ON ways.x = reach.doc AND reach.root < ways.y),
+least AS (SELECT doc, min(root) AS root FROM reach GROUP BY doc)
+SELECT doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, CASE WHEN len(s.s) = 0 THEN doc_id ELSE root END AS component_id
+FROM s LEFT JOIN texts ON texts.s = list_sort(s.s) LEFT JOIN least USING (doc)
+"""
+#: Windows of items joined with runs of as many words of documents.
+LEAK_SQL = f"""
+WITH i AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_ALNUM} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p+n-1], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM i)),
+d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+run AS (SELECT doc_id, n, p, array_to_string(w[p:p+n-1], ' ') AS t FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM win))),
+found AS (SELECT doc_id, item_id, p, run.n FROM run JOIN win ON run.n = win.n AND run.t = win.t),
+hits AS (SELECT doc_id, CAST(count(DISTINCT q) AS BIGINT) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM found)) GROUP BY doc_id),
+items AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+_quoted = lambda t: "'" + " ".join(t.split()).replace("'", "''") + "'"
+#: Phrases at each word, and the most of a template's words in any run of twice as many.
+LICENSE_SQL = f"""
+WITH phrase AS (SELECT * FROM (VALUES {", ".join(f"({_quoted(t)}, {len(t.split())}, '{k}')" for t, k in PHRASES.items())}) AS t(phrase, n, label)),
+template AS (SELECT id, label, len(w) AS n, len(list_distinct(w)) AS size, list_distinct(w) AS tokens FROM (SELECT id, label, {_ALNUM} AS w FROM (VALUES {", ".join(f"({i}, {_quoted(t)}, '{k}')" for i, (t, k) in enumerate([*TEMPLATES, *TEXTS]))}) AS t(id, text, label))),
+token AS (SELECT id, label, n, size, unnest(tokens) AS token FROM template),
+d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+base AS (SELECT doc_id, p - 1 AS start, label FROM pos JOIN phrase ON array_to_string(w[p:p+n-1], ' ') = phrase),
+bases AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_base, min(start) AS first_word, max(start) AS last_word FROM base GROUP BY doc_id),
+occ AS (SELECT doc_id, id, label, n, size, p, token FROM pos JOIN token ON w[p] = token),
+cand AS (SELECT doc_id, id FROM occ GROUP BY doc_id, id, size HAVING 4 * count(DISTINCT token) >= 3 * size),
+run AS (SELECT doc_id, label, size, count(DISTINCT token) OVER (PARTITION BY doc_id, id ORDER BY p RANGE BETWEEN 2 * n - 1 PRECEDING AND CURRENT ROW) AS c FROM occ JOIN cand USING (doc_id, id)),
+met AS (SELECT doc_id, label, c / CAST(size AS DOUBLE) AS share FROM run WHERE 4 * c >= 3 * size),
+said AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label, bool_or(base) AS base FROM (SELECT DISTINCT doc_id, label, true AS base FROM base UNION ALL SELECT DISTINCT doc_id, label, false FROM met) GROUP BY ALL) GROUP BY doc_id),
+best AS (SELECT doc_id, max(share) AS share FROM met GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN bases USING (doc_id) LEFT JOIN said USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -54,12 +114,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-@query("op9_decontamination")
+@query("op9_decontamination", LEAK_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summarise(find_contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")))
+    return summarise(find_contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))).drop("longest")
 
 
-@query("op3_licenses")
+@query("op3_licenses", LICENSE_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
 
@@ -79,11 +139,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
-@query("op5_ngram_join")
+@query("op5_ngram_join", NEAR_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", SUBSTRING_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
