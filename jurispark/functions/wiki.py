@@ -175,7 +175,7 @@ def replace_title(text: Column, value: Column) -> Column:
 
 def link_title(text: Column) -> Column:
     """The first title parameter becomes a link, unless it is one."""
-    return F.regexp_replace(text, r"\A((?s:.*?))\|\s*title\s*=[^\S\n]*(?!\[\[)([^\n|]*?)[^\S\n]*(?=\n|\||\z)", r"$1|title = [[$2]]")
+    return F.regexp_replace(text, r"\A((?s:.*?))\|\s*title\s*=[^\S\n]*+(?!\[\[)([^\n|]*?)[^\S\n]*(?=\n|\||\z)", r"$1|title = [[$2]]")
 
 
 def versions_page(title: Column, court: Column, titles: Column, kind: Column) -> Column:
