@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from jurispark.functions import text as T
 from jurispark.functions import wiki as W
 from jurispark.functions.chars import MARKERS, X_MARKERS
+from jurispark.operators import convert as C
 from jurispark.operators import reports as P
 from jurispark.operators import relational as R
+from jurispark.plans.court import AS_OF
 from jurispark.plans.registry import query
 from jurispark.sources import sinks
 
@@ -280,3 +282,52 @@ def guarded_writes(spark, sf_dir):
     for df, name in ((sinks.create_only(wanted, pages), "creates"), (sinks.unchanged_since(wanted, pages), "unchanged"), (sinks.changed(wanted, "before", "after"), "differs")):
         out = out.join(mark(df, name), "o_orderkey", "left")
     return out.select("o_orderkey", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("creates", "unchanged", "differs")])
+
+
+def _div(style: str, text: str) -> str:
+    return f'<div style="{style}">{text}</div>'
+
+
+_CENTRE, _RIGHT, _INDENT, _NONE = "TEXT-ALIGN: center; FONT-SIZE: 18pt;", "TEXT-ALIGN: right;", "TEXT-INDENT: 30pt;", ""
+#: Parts of bodies and what each becomes: blocks of the source, wikitext.
+PARAGRAPHS = [
+    (_div(_INDENT, "原告张xx，住某地。"), "{{gap}}原告张{{PRC-redact|2}}，住某地。"),
+    (_div(_INDENT, "原告张某与被告李某买卖合同纠纷一案，本院于今年立案") + _div(_INDENT, "后依法审理。"), "{{gap}}原告张某与被告李某买卖合同纠纷一案，本院于今年立案后依法审理。"),
+    (_div(_INDENT, "被上诉人赵某，女，住某市某区某街某号某楼某室") + _div(_INDENT, "委托诉讼代理人：钱某。"), "{{gap}}被上诉人赵某，女，住某市某区某街某号某楼某室⏎⏎{{gap}}委托诉讼代理人：钱某。"),
+    (_div(_NONE, "-3-") + _div(_INDENT, "现 已 审 理 终 结。"), "{{gap}}现已审理终结。"),
+    (_div(_NONE, "事实和理由：") + _div(_INDENT, "3 × 4米，编号3×123。"), "{{gap}}事实和理由：⏎⏎{{gap}}3×4米，编号3×123。"),
+]
+TABLES = [
+    ("", ""),
+    ('<table><tr><th>项</th><td colspan="2">a|b</td></tr></table>', '{| class="wikitable"⏎|-⏎! 项⏎| colspan="2" |⏎a|b⏎|}'),
+    ("<table><caption>表 一</caption><tr><td>甲<br>乙</td><td></td></tr><tr><td rowspan=2>丙</td></tr></table>", '{| class="wikitable"⏎|+ 表一⏎|-⏎|⏎甲⏎乙⏎|⏎|-⏎| rowspan="2" | 丙⏎|}'),
+    ("<ul><li>甲</li><li>乙xx</li></ul>", "* 甲⏎* 乙{{PRC-redact|2}}"),
+]
+SIGNED = [
+    (_div(_RIGHT, "审 判 长　王某"), "审判长：王某"),
+    (_div(_RIGHT, "审判员李某书记员赵某"), "审判员：李某⏎书记员：赵某"),
+    (_div(_RIGHT, "...审判长：王某") + _div(_RIGHT, "人民陪审员  孙某"), "审判长：王某⏎人民陪审员：孙某"),
+]
+DATES = [("二〇二四年九月二十八日", ("2024", "9", "28")), ("2023年3月8日", ("2023", "3", "8")), ("", ("2021", "", ""))]
+_PART = {"p": ("o_orderkey", 5), "t": ("floor(o_orderkey / 5)", 4), "s": ("floor(o_orderkey / 20)", 3), "d": ("floor(o_orderkey / 60)", 3), "n": ("floor(o_orderkey / 180)", 2)}
+_NOTES = ["", "附：相关法律条文"]
+_of = lambda part, values: _pick(list(values), _PART[part][0])
+_BODY = " || ".join([
+    f"'{_div(_CENTRE, '北京市第一中级人民法院') + _div(_CENTRE, '民 事 判 决 书')}'",
+    "'<div style=\"TEXT-ALIGN: right;\">..(2021)京01民初' || CAST(o_orderkey AS STRING) || '号</div>'",
+    _of("p", (a for a, _ in PARAGRAPHS)), _of("t", (a for a, _ in TABLES)), _of("s", (a for a, _ in SIGNED)),
+    f"CASE WHEN floor(o_orderkey / 60) % 3 = 2 THEN '' ELSE '{_div(_RIGHT, '...')[:-9]}' || {_of('d', (a for a, _ in DATES))} || '</div>' || CASE WHEN floor(o_orderkey / 180) % 2 = 1 THEN '{_div(_NONE, _NOTES[1])}' ELSE '' END END",
+])
+BODIES = f"SELECT o_orderkey AS doc_num, '甲案民事判决书' AS s1, '' AS s2, '' AS s7, '' AS s22, '' AS s31, 'doc-' || CAST(o_orderkey AS STRING) AS wsKey, {_BODY} AS qwContent FROM orders"
+_DATED = "floor(o_orderkey / 60) % 3 < 2"
+
+
+@query("convert_wikitext", f"""SELECT o_orderkey AS doc_num, '北京市第一中级人民法院' AS court, '民事判决书' AS doc_type, '（2021）京01民初' || o_orderkey || '号' AS doc_id, replace(
+  '{{{{Header/裁判文书⏎|title = 甲案民事判决书⏎|court = 北京市第一中级人民法院⏎|type = 民事判决书⏎|案号 = （2021）京01民初' || o_orderkey || '号⏎|year = ' || {_of("d", (y for _, (y, _, _) in DATES))} || '⏎|month = ' || {_of("d", (m for _, (_, m, _) in DATES))} || '⏎|day = ' || {_of("d", (d for _, (_, _, d) in DATES))} || '⏎|loc = 北京市⏎|docid = doc-' || o_orderkey || '⏎}}}}⏎'
+  || {_of("p", (b for _, b in PARAGRAPHS))} || CASE WHEN floor(o_orderkey / 5) % 4 > 0 THEN '⏎⏎' ELSE '' END || {_of("t", (b for _, b in TABLES))}
+  || '⏎⏎{{{{裁判文书署名|1=⏎' || {_of("s", (b for _, b in SIGNED))} || CASE WHEN {_DATED} THEN '⏎' || {_of("d", (a for a, _ in DATES))} ELSE '' END || '⏎}}}}⏎'
+  || CASE WHEN {_DATED} AND floor(o_orderkey / 180) % 2 = 1 THEN '⏎{_NOTES[1]}⏎⏎' ELSE '' END || '{{{{PD-PRC-exempt}}}}⏎', '⏎', chr(10)) AS wikitext FROM orders""")
+def convert_wikitext(spark, sf_dir):
+    """The whole job on bodies of known parts: paragraphs, tables, lists, signatures, dates, notes."""
+    found = C.convert(_made(spark, sf_dir, BODIES), as_of=AS_OF)
+    return C.successes(found.withColumn("title", F.col("doc_num").cast("string"))).select(F.col("title").cast("long").alias("doc_num"), "court", "doc_type", "doc_id", "wikitext")
