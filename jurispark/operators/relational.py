@@ -120,7 +120,7 @@ def resolve_redirects(pages: DataFrame, hops: int = 10) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: str, satisfied: Column, n: int, seed: int) -> DataFrame:
     """n rows that satisfy a condition, in an order that the seed fixes."""
-    return df.where(satisfied).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.where(satisfied).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
 
 
 def tail(df: DataFrame, order: str, n: int) -> DataFrame:

@@ -6,17 +6,20 @@ parts that a text was made of.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jurispark.functions import text as T
 from jurispark.functions import wiki as W
-from jurispark.functions.chars import MARKERS, X_MARKERS
+from jurispark.functions.chars import MARKERS
 from jurispark.operators import convert as C
 from jurispark.operators import reports as P
 from jurispark.operators import relational as R
+from jurispark.operators import revisions as V
+from jurispark.operators.planner import IMPORT_SUMMARY, REVERT_SUMMARY
 from jurispark.plans.court import AS_OF
 from jurispark.plans.registry import query
+from jurispark.plans.wiki import marked_sql
 from jurispark.sources import sinks
 
 
@@ -78,17 +81,6 @@ def text_rules(spark, sf_dir):
     )
 
 
-def marked_sql(text: str) -> str:
-    """Runs of masking characters as templates, in DuckDB: a text is split into runs of these and of others; what stands
-    before and behind a run decides. For texts without templates."""
-    runs = f"regexp_extract_all({text}, '[{MARKERS}]+|[^{MARKERS}]+')"
-    lone = "(r = '×' AND regexp_matches(coalesce(runs[i + 1], ''), '^[0-9.]'))"
-    sure = f"(regexp_matches(r, '[{X_MARKERS}][{X_MARKERS}]') OR NOT regexp_matches(r, '[{X_MARKERS}]'))"
-    latin = "regexp_matches(coalesce(runs[i - 1], ''), '[A-WYZa-wyz]$') OR regexp_matches(coalesce(runs[i + 1], ''), '^[A-WYZa-wyz]')"
-    rule = f"CASE WHEN regexp_matches(r, '^[{MARKERS}]') AND NOT {lone} AND ({sure} OR NOT ({latin})) THEN '{{{{PRC-redact|' || length(r) || '}}}}' ELSE r END"
-    return f"(SELECT array_to_string(list_transform(runs, lambda r, i: {rule}), '') FROM (SELECT {runs} AS runs))"
-
-
 _PLAIN_PIECES = [p for p in PIECES if "PRC" not in p] + ["x", "a×", "×.", "甲x", "X乙", "＊", "bX", "Xb", "某某"]
 _PLAIN = " || ".join(_pick(_PLAIN_PIECES, f"o_orderkey * {a} + floor(o_orderkey / {b})") for a, b in ((7, 5), (3, 11), (13, 2), (1, 1), (5, 17)))
 PLAIN = f"SELECT o_orderkey AS k, replace(replace(x, '⏎', chr(10)), '␍', chr(13)) AS x FROM (SELECT o_orderkey, {_PLAIN} AS x FROM orders)"
@@ -331,3 +323,49 @@ def convert_wikitext(spark, sf_dir):
     """The whole job on bodies of known parts: paragraphs, tables, lists, signatures, dates, notes."""
     found = C.convert(_made(spark, sf_dir, BODIES), as_of=AS_OF)
     return C.successes(found.withColumn("title", F.col("doc_num").cast("string"))).select(F.col("title").cast("long").alias("doc_num"), "court", "doc_type", "doc_id", "wikitext")
+
+
+#: Lines of a page, and the points that each adds for redactions, structure and formatting, and its links.
+SCORED = [
+    ("{{gap}}张xx诉称。", 1, 0, 0, 0), ("{{gap}}李{{PRC-redact|2}}**到庭。", 4, 0, 0, 0), ("{{gap}}**{{PRC-redact|2}}到庭。", 4, 0, 0, 0), ("{{gap}}赵{{PRC-redact}}到庭。", 10, 0, 0, 0),
+    ("{{裁判文书署名|1=}}", 0, 12, 0, 0), ("{{gap}}..审判长王某。", 0, 10, 0, 0), ("..（2020）京1号", 0, 10, 0, 0), ("审判员王某书记员李某。", 0, 8, 0, 0),
+    ("事实和理由：", 0, 0, 4, 0), ("{{gap}}被告辩称⏎⏎{{gap}}不同意。", 0, 0, 8, 0), ("见[[甲]]和[[乙|丙]]。", 0, 0, 0, 2), ("[[Category:丁]]。", 0, 0, 0, 0), ("{{gap}}3×4米。", 0, 0, 0, 0),
+]
+_SCORED = [f"o_orderkey * {a} + floor(o_orderkey / {b})" for a, b in ((1, 13), (3, 7), (5, 3))]
+SCORED_PAGES = f"SELECT o_orderkey AS ordinal, replace('{{{{Header/裁判文书⏎|title = 张xx案⏎}}}}⏎完。⏎' || {" || '⏎完。⏎' || ".join(_pick([s[0] for s in SCORED], n) for n in _SCORED)}, '⏎', chr(10)) AS content FROM orders"
+
+
+@query("quality_rules", "SELECT o_orderkey AS ordinal, " + ", ".join(f"{' + '.join(f"CAST({_pick([str(s[i]) for s in SCORED], n)} AS BIGINT)" for n in _SCORED)} AS {name}" for i, name in enumerate(("redactions", "structure", "formatting", "links"), 1)) + " FROM orders")
+def quality_rules(spark, sf_dir):
+    x = F.col("content")
+    scores = [c.cast("long").alias(n) for c, n in ((W.redaction_penalty(x), "redactions"), (W.structure_penalty(x), "structure"), (W.formatting_penalty(x), "formatting"), (W.content_links(x), "links"))]
+    return _made(spark, sf_dir, SCORED_PAGES).select("ordinal", *scores)
+
+
+#: A page as it stands, the import that was undone, and what is decided on it.
+_BODY_OF = "{{{{Header/裁判文书⏎|title = 甲案⏎|案号 = {}⏎}}}}⏎{}⏎"
+IMPORTS = [
+    (("（2024）京1号", "{{gap}}张某诉称。"), ("（2024）京1号", "{{gap}}张某诉称。"), "import_matches_current"),
+    (("（2024）京1号", "{{gap}}张{{PRC-redact|2}}诉称。"), ("（2024）京1号", "{{gap}}张xx诉称。"), "redaction_template_loss"),
+    (("（2024）京1号", "{{gap}}张某诉称。"), ("(2024)京1号", "{{gap}}张某诉称。"), "current_has_safe_header_fix"),
+    (("（2024）京1号", "{{gap}}张{{PRC-redact|3}}诉称。"), ("（2024）京1号", "{{gap}}张{{PRC-redact|2}}{{PRC-redact|1}}xx诉称。"), "import_not_obviously_bad"),
+    (("（2024）京1号", "{{gap}}张某诉称被告欠款。"), ("（2024）京1号", "{{gap}}张某诉称⏎⏎{{gap}}被告欠款。"), "current_has_safe_formatting_fix"),
+    (("（2024）京1号", "{{gap}}张某诉称。⏎{{裁判文书署名|1=⏎审判长：王某⏎}}"), ("（2024）京1号", "{{gap}}张某诉称。⏎{{gap}}..审判长王某⏎{{裁判文书署名|1=⏎}}"), "current_has_safe_signature_structure_fix"),
+    (("（2024）京1号", "{{gap}}张某诉称。"), ("（2024）京1号", "{{gap}}李某诉称。"), "import_not_obviously_bad"),
+]
+
+
+def import_histories(spark, sf_dir) -> DataFrame:
+    """title, revid, ts, user, comment, text: each customer's orders are a history; the import before the newest was undone."""
+    text = lambda pair: _BODY_OF.format(*pair).replace("⏎", "\n")
+    kind = (F.col("o_custkey") % len(IMPORTS)).cast("int")
+    choose = lambda side: F.element_at(F.array(*[F.lit(text(row[side])) for row in IMPORTS]), kind + 1)
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("rank", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_orderkey"))))
+    body = F.when(F.col("rank") == 1, W.with_review(choose(0))).when(F.col("rank") == 2, choose(1)).otherwise(choose(0))
+    return o.select(F.concat(F.lit("p"), "o_custkey").alias("title"), F.col("o_orderkey").alias("revid"), F.col("o_orderkey").alias("ts"), F.lit("u").alias("user"), F.when(F.col("rank") == 1, REVERT_SUMMARY).otherwise(IMPORT_SUMMARY).alias("comment"), body.alias("text"))
+
+
+@query("import_decisions", f"""SELECT title, reason, CASE WHEN reason IN ('import_not_obviously_bad', 'fewer_than_three_revisions') THEN 'skip' ELSE 'fix' END AS action
+  FROM (SELECT 'p' || o_custkey AS title, CASE WHEN count(*) < 3 THEN 'fewer_than_three_revisions' ELSE {_pick([r for _, _, r in IMPORTS], 'o_custkey')} END AS reason FROM orders GROUP BY o_custkey)""")
+def import_decisions(spark, sf_dir):
+    return V.clear_bad_imports(import_histories(spark, sf_dir)).select("title", "action", "reason")

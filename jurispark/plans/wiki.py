@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from jurispark.functions import html, render
 from jurispark.functions import text as T
 from jurispark.functions import wiki as W
-from jurispark.functions.chars import MARKERS
+from jurispark.functions.chars import MARKERS, X_MARKERS
 from jurispark.operators import jobs as J
 from jurispark.operators import relational as R
 from jurispark.operators import revisions as V
@@ -49,6 +49,17 @@ def wiki_pages(spark, sf_dir) -> DataFrame:
     return o.select(_title(F.col("n")).alias("title"), content.alias("content"), F.lit(1).alias("revisions")).where("content IS NOT NULL")
 
 
+def marked_sql(text: str) -> str:
+    """Runs of masking characters as templates, in DuckDB: a text is split into runs of these and of others; what stands
+    before and behind a run decides. For texts without templates."""
+    runs = f"regexp_extract_all({text}, '[{MARKERS}]+|[^{MARKERS}]+')"
+    lone = "(r = '×' AND regexp_matches(coalesce(runs[i + 1], ''), '^[0-9.]'))"
+    sure = f"(regexp_matches(r, '[{X_MARKERS}][{X_MARKERS}]') OR NOT regexp_matches(r, '[{X_MARKERS}]'))"
+    latin = "regexp_matches(coalesce(runs[i - 1], ''), '[A-WYZa-wyz]$') OR regexp_matches(coalesce(runs[i + 1], ''), '^[A-WYZa-wyz]')"
+    rule = f"CASE WHEN regexp_matches(r, '^[{MARKERS}]') AND NOT {lone} AND ({sure} OR NOT ({latin})) THEN '{{{{PRC-redact|' || length(r) || '}}}}' ELSE r END"
+    return f"(SELECT array_to_string(list_transform(runs, lambda r, i: {rule}), '') FROM (SELECT {runs} AS runs))"
+
+
 @query("upload_plan")
 def upload_plan(spark, sf_dir):
     plan = plan_uploads(drafts(spark, sf_dir), wiki_pages(spark, sf_dir))
@@ -161,7 +172,7 @@ def redaction_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.raw_marker_count(F.col("text")).alias("raw_markers"))
 
 
-@query("redaction_normalize")
+@query("redaction_normalize", f"SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE coalesce(list_sum(list_transform(regexp_extract_all(m, 'PRC-redact\\|(\\d+)', 1), lambda v: v::BIGINT)), 0) END AS BIGINT) AS masked_characters, sha256(m) AS sha256 FROM (SELECT doc_id, text, {marked_sql('text')} AS m FROM documents)")
 def redaction_normalize(spark, sf_dir):
     marked = table(spark, sf_dir, "documents").select("doc_id", T.mark_redactions(F.col("text")).alias("marked"))
     return marked.select("doc_id", T.template_sum(F.col("marked")).alias("masked_characters"), F.sha2("marked", 256).alias("sha256"))
@@ -276,7 +287,7 @@ def paragraph_merge(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", "html").mapInArrow(run, "page_id long, blocks int, merged int, wikitext string")
 
 
-@query("untouched_sample")
+@query("untouched_sample", "SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) = 1 ORDER BY md5('7:' || o_custkey), o_custkey LIMIT 50")
 def untouched_sample(spark, sf_dir):
     """The operator is a sample: 50 pages whose newest revision is their first, in an order that the seed fixes."""
     pages = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
