@@ -42,8 +42,7 @@ def doc_type(text: Column) -> Column:
 
 def doc_type_of_title(title: Column) -> Column:
     """The first known ending that a title has; else empty."""
-    text = compact(title)
-    return or_empty(_try_first(F.filter(F.array(*map(F.lit, TYPE_SUFFIXES)), lambda s: F.endswith(text, s))))
+    return or_empty(let(compact(title), lambda text: _try_first(F.filter(F.array(*map(F.lit, TYPE_SUFFIXES)), lambda s: F.endswith(text, s)))))
 
 
 def doc_type_of_hierarchy(hierarchy: Column, court: Column, number: Column) -> Column:
@@ -148,9 +147,8 @@ def location_of_hierarchy(hierarchy: Column, cities: Mapping[str, str] = CITIES)
 
 
 def province(court: Column, cities: Mapping[str, str] = CITIES) -> Column:
-    text = compact(court)
-    start = _try_first(F.filter(F.array(*map(F.lit, PROVINCES)), lambda p: F.startswith(text, p)))
-    return F.coalesce(start, _city(text, cities)["province"], F.when(F.contains(text, F.lit("旗")), F.lit("内蒙古自治区")))
+    start = lambda text: _try_first(F.filter(F.array(*map(F.lit, PROVINCES)), lambda p: F.startswith(text, p)))
+    return let(compact(court), lambda text: F.coalesce(start(text), _city(text, cities)["province"], F.when(F.contains(text, F.lit("旗")), F.lit("内蒙古自治区"))))
 
 
 def header(title: Column, court: Column, kind: Column, number: Column, date: Column, place: Column, source_id: Column) -> Column:

@@ -58,7 +58,7 @@ def drop_invisible(text: Column) -> Column:
 
 def drop_cjk_spaces(text: Column) -> Column:
     """Without runs of spaces between two CJK characters."""
-    return F.regexp_replace(text, rf"(?<=[{CJK}]) +(?=[{CJK}])", "")
+    return let(text, lambda t: F.when(F.contains(t, F.lit(" ")), F.regexp_replace(t, rf"(?<=[{CJK}]) +(?=[{CJK}])", "")).otherwise(t))
 
 
 def template_sum(text: Column) -> Column:
@@ -77,12 +77,12 @@ def collapse_templates(text: Column) -> Column:
 
 def mark_redactions(text: Column) -> Column:
     """Runs of masking characters become templates with their length."""
-    return collapse_templates(replace_each(text, MASKED, lambda m: _template(F.length(m))))
+    return let(text, lambda t: F.when(t.rlike(f"[{MARKERS}]"), collapse_templates(replace_each(t, MASKED, lambda m: _template(F.length(m))))).otherwise(collapse_templates(t)))
 
 
 def mark_title_redactions(text: Column) -> Column:
     """Runs of masking characters become as many ×: titles can't hold templates."""
-    return replace_each(text, MASKED, lambda m: F.repeat(F.lit("×"), F.length(m)))
+    return let(text, lambda t: F.when(t.rlike(f"[{MARKERS}]"), replace_each(t, MASKED, lambda m: F.repeat(F.lit("×"), F.length(m)))).otherwise(t))
 
 
 def masked_runs(text: Column) -> Column:
@@ -124,7 +124,13 @@ def same_lines(text: Column) -> Column:
 
 def remove_once(text: Column, fragment: Column) -> Column:
     """Without the first occurrence of a fragment; an empty one leaves the text."""
-    return F.regexp_replace(text, F.concat(F.lit(r"(?s)^(.*?)\Q"), F.replace(fragment, F.lit(r"\E"), F.lit("")), F.lit(r"\E")), F.lit("$1"))
+
+    def cut(b: Column) -> Column:
+        at = F.position(b["fragment"], b["text"])
+        rest = F.substring(b["text"], at + F.length(b["fragment"]), F.length(b["text"]))
+        return F.when((at > 0) & (b["fragment"] != ""), F.concat(F.substring(b["text"], F.lit(1), at - 1), rest)).otherwise(b["text"])
+
+    return let(F.struct(text.alias("text"), fragment.alias("fragment")), cut)
 
 
 def _merged(masks: Column) -> Column:
