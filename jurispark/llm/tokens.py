@@ -15,8 +15,8 @@ from jurispark.llm.common import lean, raw
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens whose counts a worker remembers; beyond it the memory starts anew.
 REMEMBERED, REMEMBERED_BYTES = 400_000, 64
-#: Pre-tokens that are held at a time.
-HELD = 200_000
+#: Pre-tokens that are held at a time, and characters of a text that is split in one go.
+HELD, WHOLE = 200_000, 1 << 20
 
 
 def byte_characters() -> list[str]:
@@ -105,37 +105,50 @@ class Counter:
         import regex
 
         self.merges, self.seen = Merges(path), {}
-        self.split = regex.compile(PATTERN).finditer
+        self.split = regex.compile(PATTERN)
         self.at_special = regex.compile("|".join(map(regex.escape, self.merges.special))).split if self.merges.special else None
 
     def _pretokens(self, texts: list[str], extra: list[int]):
-        """(text, pre-token) of all texts; special tokens' strings are counted in ``extra``."""
+        """(text, some of its pre-tokens) of all texts; special tokens' strings are counted in ``extra``."""
         for i, text in enumerate(texts):
             pieces = self.at_special(text) if self.at_special else [text]
             extra[i] += len(pieces) - 1
             for piece in pieces:
-                for m in self.split(piece):
-                    yield i, m[0]
+                if len(piece) <= WHOLE:
+                    yield i, self.split.findall(piece)
+                else:
+                    found = (m[0] for m in self.split.finditer(piece))
+                    while part := list(islice(found, HELD)):
+                        yield i, part
 
     def __call__(self, texts: list[str]) -> list[int]:
-        """A special token's string in a text is that one token; what lies between is counted by itself. ``HELD``
-        pre-tokens are in memory at a time, however long a text is."""
+        """A special token's string in a text is that one token; what lies between is counted by itself. Some
+        ``HELD`` pre-tokens are in memory at a time, however long a text is."""
         out = [0] * len(texts)
-        stream = self._pretokens(texts, out)
-        while held := list(islice(stream, HELD)):
-            if len(self.seen) > REMEMBERED:
-                self.seen = {}
-            known = self.seen
-            new = list({t for _, t in held} - known.keys())
-            if new:
-                known.update(zip(new, self.merges.count([t.encode() for t in new]).tolist(), strict=True))
-            for i, t in held:
-                out[i] += known[t]
-            for t in new:
-                if len(t) > REMEMBERED_BYTES:
-                    del known[t]
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+        for i, part in self._pretokens(texts, out):
+            held.append((i, part))
+            size += len(part)
+            if size >= HELD:
+                self._add(held, out)
+                held, size = [], 0
+        self._add(held, out)
         return out
 
+    def _add(self, held: list[tuple[int, list[str]]], out: list[int]) -> None:
+        if len(self.seen) > REMEMBERED:
+            self.seen = {}
+        known = self.seen
+        new = list({t for _, part in held for t in part} - known.keys())
+        if new:
+            known.update(zip(new, self.merges.count([t.encode() for t in new]).tolist(), strict=True))
+        for i, part in held:
+            out[i] += sum(map(known.__getitem__, part))
+        for t in new:
+            if len(t) > REMEMBERED_BYTES:
+                del known[t]
+
 
 def count_tokens(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """Adds nothing to the texts and returns id, n_bytes, n_tokens, over_limit for each row.
