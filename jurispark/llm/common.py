@@ -11,6 +11,9 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from jurispark.operators.relational import with_ordinal
 
 #: Bytes after lower-casing A-Z; everything that is not 0-9, a-z or part of a non-ASCII character becomes a space.
 ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -99,6 +102,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns or ["*"])
 
 
+def by_number(docs: DataFrame, id_col: str, work, *id_columns: str) -> DataFrame:
+    """``work(docs)`` with ids as whole numbers in their order. Ids of another type are numbered first, and their numbers in
+    the given columns of the result become ids again; that takes a sort of the different ids and a join for each."""
+    if isinstance(docs.schema[id_col].dataType, IntegralType):
+        return work(docs)
+    names = docs.select(F.col(id_col).alias("__name")).where("__name IS NOT NULL").distinct().orderBy("__name")
+    names = cut(with_ordinal(cut(names), "__number"))
+    rest = [c for c in docs.columns if c != id_col]
+    out = work(docs.join(names, docs[id_col] == names["__name"], "left").select(F.col("__number").alias(id_col), *rest))
+    for c in id_columns or (id_col,):
+        out = out.join(names, out[c] == names["__number"], "left").select(*[F.col("__name").alias(c) if x == c else F.col(x) for x in out.columns])
+    return out
+
+
 def numbered_columns(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list]:
     """docs with columns named by number, their new names, and what gives them their names back: so none clashes with a
     column that an operator adds."""

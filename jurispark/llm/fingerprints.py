@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import cut, lean, partitions, raw
+from jurispark.llm.common import by_number, cut, lean, partitions, raw
 
 
 def canonical(text: str) -> bytes:
@@ -86,6 +86,10 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     by block; each block also gets the first document of the block behind it. Documents whose digest occurs
     more than once return their canonical bytes for the comparison inside buckets.
     """
+    return by_number(docs, id_col, lambda d: _edited_fingerprints(d, id_col, text_col, share), id_col)
+
+
+def _edited_fingerprints(docs: DataFrame, id_col: str, text_col: str, share: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 

@@ -54,7 +54,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     0 and take part with copies of no words; a null source is a source; repeated rows are documents of their
     own; a null id is an id. Other columns are not read. An empty table gives an empty result.
     """
-    thin = cut(docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), word_count(F.col(text_col)).alias("size")))
+    # rows without id are dealt out by their place
+    tag = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+    thin = cut(docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), word_count(F.col(text_col)).alias("size"), tag.alias("__tag")))
     targets = source_targets(thin, "__source", weights, share, cap)
     offset = md5_int(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("__source"), F.lit("\x00"))), 4) / F.lit(65536.0)
     targets = targets.select("__source", "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"), offset.alias("offset"))
@@ -65,7 +67,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     bands = bands.select("__source", "band", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("band_at"), F.ceil(F.col("n") / RUN).cast("long").alias("runs"))
     bands = bands.alias("b").join(targets.alias("t"), F.expr("b.__source <=> t.__source")).select("b.*", "source_size", "target", "rate", "offset")
     rows = thin.alias("d").join(bands.alias("b"), F.expr("d.__source <=> b.__source AND d.band = b.band"))
-    rows = rows.select("d.*", "band_at", "source_size", "target", "rate", "offset", F.coalesce(md5_int(F.col("__id"), 8) % F.col("runs"), F.lit(0)).alias("run"))
+    rows = rows.select("d.*", "band_at", "source_size", "target", "rate", "offset", F.coalesce(md5_int(F.col("__id"), 8) % F.col("runs"), F.col("__tag") % F.col("runs")).alias("run")).drop("__tag")
 
     runs = rows.groupBy("__source", "band", "run").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("__source", "band").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)

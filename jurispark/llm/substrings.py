@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurispark.llm.common import cut, lean, partitions, raw
+from jurispark.llm.common import by_number, cut, lean, partitions, raw
 
 #: Words of a window, and of an anchor inside it.
 WINDOW, ANCHOR = 50, 16
@@ -366,6 +366,10 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Null and empty texts have no words. Null ids are no smaller than others and others are not smaller than
     them: such rows stay whole. Rows with one id don't remove one another's words. Other columns are not read.
     """
+    return by_number(docs, id_col, lambda d: _dedup_substrings(d, id_col, text_col, held, patterns), id_col)
+
+
+def _dedup_substrings(docs: DataFrame, id_col: str, text_col: str, held: int, patterns: int) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = _scan(docs)
     classes = rows.groupBy("key").agg(F.min("id").alias("doc"), F.first("cls").alias("cls"), F.first("anchors").alias("anchors"), F.first("windows").alias("windows"))

@@ -197,3 +197,15 @@ def test_components_of_a_long_chain(spark):
     links = spark.range(60).select(((F.col("id") * 37) % 61).alias("a"), (((F.col("id") + 1) * 37) % 61).alias("b"))
     assert {r.component for r in components(links).collect()} == {0}
     assert components(links.limit(0)).count() == 0
+
+
+def test_ids_of_any_type(spark):
+    """Ids that are texts stand in their order; results are those of numbers in the same order."""
+    docs = [d for d in corpus() if d[0] is not None and d[0] != 6][:120] + [(None, "a b c")]
+    name = lambda i: None if i is None else f"id{i + 5000:06d}"
+    texts = spark.createDataFrame([(name(i), t) for i, t in docs], "doc_id string, text string")
+    for work, ids in ((S.dedup_substrings, ["doc_id"]), (N.near_groups, ["doc_id", "component_id"]), (P.edited_fingerprints, ["doc_id"])):
+        found, wanted = work(texts), work(frame(spark, docs))
+        assert found.columns == wanted.columns
+        said = lambda r, f: str({k: f(v) if k in ids else v for k, v in r.asDict().items()})
+        assert sorted(said(r, str) for r in found.collect()) == sorted(said(r, lambda v: str(name(v))) for r in wanted.collect())
