@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; in local mode without one, a temporary folder."""
+    """This session's part of spark.checkpoint.dir, which goes when the session ends; in local mode without one, a temporary
+    folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
-        if where is None and not sc.master.startswith("local["):
+        if where is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="jurispark-"))
-    return sc.getCheckpointDir()
+    folder = sc.getCheckpointDir()
+    where = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
