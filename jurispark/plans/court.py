@@ -9,7 +9,7 @@ from jurispark.functions import metadata as M
 from jurispark.functions import text as T
 from jurispark.operators import convert as C
 from jurispark.operators import relational as R
-from jurispark.plans.registry import query
+from jurispark.plans.registry import query, table
 
 AS_OF = 2026
 
@@ -40,7 +40,7 @@ _NUMBER = "regexp_extract(replace(replace(regexp_replace({0}, '\\s+', '', 'g'),
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders are the large side; customers join by key, and nations, a fixed 25 rows, are small enough to send."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "nation")}
+    tables = {"orders": table(spark, sf_dir, "orders", "o_orderkey"), "customer": table(spark, sf_dir, "customer"), "nation": table(spark, sf_dir, "nation")}
     sql = RAW.replace("FROM orders JOIN customer", "FROM {orders} JOIN {customer}").replace("JOIN nation", "JOIN {nation}")
     return spark.sql(sql, **tables)
 

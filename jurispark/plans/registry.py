@@ -1,5 +1,11 @@
 """The named queries of this library and, where SQL can express them, their SQL."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+#: Bytes of input for each core below which rows are dealt out.
+SMALL = 64 << 20
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -14,3 +20,13 @@ def query(name: str, sql: str | None = None):
         return f
 
     return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """A table of the folder. With ``key``, rows of a small table in fewer files than there are cores are dealt out by it:
+    a row group is one task's, however costly what is made of its rows. Larger tables are read as they lie."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if key is None or len(df.inputFiles()) >= cores or int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >= cores * SMALL:
+        return df
+    return df.repartition(cores, key)

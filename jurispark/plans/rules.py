@@ -18,7 +18,7 @@ from jurispark.operators import relational as R
 from jurispark.operators import revisions as V
 from jurispark.operators.planner import IMPORT_SUMMARY, REVERT_SUMMARY
 from jurispark.plans.court import AS_OF
-from jurispark.plans.registry import query
+from jurispark.plans.registry import query, table
 from jurispark.plans.wiki import marked_sql
 from jurispark.sources import sinks
 
@@ -31,7 +31,7 @@ def _pick(pieces: list[str], number: str) -> str:
 
 def _made(spark, sf_dir, sql: str) -> DataFrame:
     sql = sql.replace("{", "{{").replace("}", "}}")
-    return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders", "o_orderkey"))
 
 
 PIECES = ["张三", "xx", "**", " ", "　", "{{PRC-redact|1}}", "{{PRC-redact|2}}", "{{PRC-redact|3}}", "(2024)", "3 × 4", "米 ×（", "某×X", "...", "A​", "﻿李", "⏎", "␍⏎", "a b", "×", "·", "3×4× 5", "Tax X"]

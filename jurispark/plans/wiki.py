@@ -15,11 +15,7 @@ from jurispark.operators import relational as R
 from jurispark.operators import revisions as V
 from jurispark.operators.planner import IMPORT_SUMMARY, REVERT_SUMMARY, plan_uploads
 from jurispark.plans.court import AS_OF
-from jurispark.plans.registry import query
-
-
-def table(spark, sf_dir, name) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from jurispark.plans.registry import query, table
 
 
 def _title(n):
@@ -28,7 +24,7 @@ def _title(n):
 
 def drafts(spark, sf_dir) -> DataFrame:
     """ordinal, title, wenshu_id, wikitext: three orders share a title; case numbers repeat every so often."""
-    o = table(spark, sf_dir, "orders").withColumn("n", F.floor(F.col("o_orderkey") / 3))
+    o = table(spark, sf_dir, "orders", "o_orderkey").withColumn("n", F.floor(F.col("o_orderkey") / 3))
     number = F.concat(F.lit("（2024）京01民初"), F.when(F.col("o_orderkey") % 7 == 0, F.col("n")).otherwise(F.col("o_orderkey")).cast("string"), F.lit("号"))
     court = F.when(F.col("o_orderkey") % 4 == 0, "上海市第一中级人民法院").otherwise("北京市第一中级人民法院")
     return o.select(F.col("o_orderkey").alias("ordinal"), _title(F.col("n")).alias("title"), F.concat(F.lit("doc-"), F.col("o_orderkey").cast("string")).alias("wenshu_id"), _page(_title(F.col("n")), court, number, F.concat(F.lit("doc-"), F.col("o_orderkey").cast("string")), F.when(F.col("o_orderkey") % 5 == 0, "张xx诉称").otherwise("原告诉称")).alias("wikitext"))
@@ -174,7 +170,7 @@ def redaction_counts(spark, sf_dir):
 
 @query("redaction_normalize", f"SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE coalesce(list_sum(list_transform(regexp_extract_all(m, 'PRC-redact\\|(\\d+)', 1), lambda v: v::BIGINT)), 0) END AS BIGINT) AS masked_characters, sha256(m) AS sha256 FROM (SELECT doc_id, text, {marked_sql('text')} AS m FROM documents)")
 def redaction_normalize(spark, sf_dir):
-    marked = table(spark, sf_dir, "documents").select("doc_id", T.mark_redactions(F.col("text")).alias("marked"))
+    marked = table(spark, sf_dir, "documents", "doc_id").select("doc_id", T.mark_redactions(F.col("text")).alias("marked"))
     return marked.select("doc_id", T.template_sum(F.col("marked")).alias("masked_characters"), F.sha2("marked", 256).alias("sha256"))
 
 
@@ -261,17 +257,17 @@ def page_blocks_of(pages: DataFrame) -> DataFrame:
 
 @query("page_blocks")
 def page_blocks(spark, sf_dir):
-    return page_blocks_of(table(spark, sf_dir, "pages")).select("page_id", "ord", "kind", "text", "indent", F.size("items").alias("n_items"))
+    return page_blocks_of(table(spark, sf_dir, "pages", "page_id")).select("page_id", "ord", "kind", "text", "indent", F.size("items").alias("n_items"))
 
 
 @query("block_type_counts")
 def block_type_counts(spark, sf_dir):
-    return page_blocks_of(table(spark, sf_dir, "pages")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("items")).alias("items"))
+    return page_blocks_of(table(spark, sf_dir, "pages", "page_id")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("items")).alias("items"))
 
 
 @query("page_lists", "SELECT page_id, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS items FROM pages WHERE html LIKE '%<li>%'")
 def page_lists(spark, sf_dir):
-    return page_blocks_of(table(spark, sf_dir, "pages")).where("kind = 'LIST'").groupBy("page_id").agg(F.sum(F.size("items")).alias("items"))
+    return page_blocks_of(table(spark, sf_dir, "pages", "page_id")).where("kind = 'LIST'").groupBy("page_id").agg(F.sum(F.size("items")).alias("items"))
 
 
 @query("paragraph_merge")
@@ -284,7 +280,7 @@ def paragraph_merge(spark, sf_dir):
             merged = [render.merge(b) for b in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, found), pa.int32()), pa.array(map(len, merged), pa.int32()), pa.array([render.body(b) for b in found], pa.string())], names=["page_id", "blocks", "merged", "wikitext"])
 
-    return table(spark, sf_dir, "pages").select("page_id", "html").mapInArrow(run, "page_id long, blocks int, merged int, wikitext string")
+    return table(spark, sf_dir, "pages", "page_id").select("page_id", "html").mapInArrow(run, "page_id long, blocks int, merged int, wikitext string")
 
 
 @query("untouched_sample", "SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) = 1 ORDER BY md5('7:' || o_custkey), o_custkey LIMIT 50")
