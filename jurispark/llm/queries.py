@@ -9,6 +9,7 @@ from jurispark.llm.common import cut, delete, table
 from jurispark.llm.decontamination import find_contamination, summarise
 from jurispark.llm.fingerprints import edited_fingerprints
 from jurispark.llm.licenses import PHRASES, TEMPLATES, TEXTS, scan_licenses
+from jurispark.llm.middle import fill_in_middle
 from jurispark.llm.mixing import MIX_SQL, mix
 from jurispark.llm.ngram_join import near_groups
 from jurispark.llm.secrets import digest, find_secrets
@@ -77,6 +78,16 @@ best AS (SELECT doc_id, max(share) AS share FROM met GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
 FROM d LEFT JOIN bases USING (doc_id) LEFT JOIN said USING (doc_id) LEFT JOIN best USING (doc_id)
 """
+#: Two cuts and an order from the hash of an id.
+MIDDLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+s AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS h1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS h2, CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4 FROM d),
+c AS (SELECT *, least(h1, h2) AS a, greatest(h1, h2) AS b, CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM s),
+p AS (SELECT *, substring(text, 1, a) AS pre, substring(text, a + 1, b - a) AS mid, substring(text, b + 1, n) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -147,3 +158,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_substring_dedup", SUBSTRING_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op11_fill_in_middle", MIDDLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return made.select("doc_id", *[f"fim.{c}" for c in ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")])
