@@ -9,6 +9,7 @@ from jurispark.llm.common import cut, delete, table
 from jurispark.llm.decontamination import find_contamination, summarise
 from jurispark.llm.fingerprints import edited_fingerprints
 from jurispark.llm.licenses import PHRASES, TEMPLATES, TEXTS, scan_licenses
+from jurispark.llm.line_dedup import dedup_lines
 from jurispark.llm.middle import fill_in_middle
 from jurispark.llm.mixing import MIX_SQL, mix
 from jurispark.llm.ngram_join import near_groups
@@ -88,6 +89,15 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
 FROM p
 """
+#: Lines with their keys, keys that five documents hold, and lines that stay.
+LINES_SQL = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS p FROM d),
+k AS (SELECT *, {_LOWER.format("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+common AS (SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (doc_id < holder) AS BIGINT) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (holder IS NULL OR doc_id = holder), '')) AS kept_sha256
+FROM k LEFT JOIN common USING (key) GROUP BY doc_id
+"""
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -164,3 +174,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text"))
     return made.select("doc_id", *[f"fim.{c}" for c in ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")])
+
+
+@query("op12_line_dedup", LINES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
