@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jurispark.llm.centroids import cluster_vectors
 from jurispark.llm.common import cut, delete, table
 from jurispark.llm.decontamination import find_contamination, summarise
 from jurispark.llm.fingerprints import edited_fingerprints
@@ -98,6 +99,24 @@ common AS (SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40 GROU
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (doc_id < holder) AS BIGINT) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (holder IS NULL OR doc_id = holder), '')) AS kept_sha256
 FROM k LEFT JOIN common USING (key) GROUP BY doc_id
 """
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10) -> str:
+    """Rounds one after another: distances to all centroids, the least of them, floored means."""
+    steps = [
+        "v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, e FROM (SELECT e, sha256('3:' || vec_id) AS h FROM v ORDER BY h LIMIT {k}))",
+    ]
+    for r in range(rounds + 1):
+        away = "list_sum(list_transform(list_zip(v.e, m.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, e, c, d FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, c) AS place FROM (SELECT vec_id, v.e, m.c, CAST({away} AS BIGINT) AS d FROM v, c{r} AS m)) WHERE place = 1)")
+        if r < rounds:
+            mean = f"SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM (SELECT c, i, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM (SELECT c, unnest(e) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY c, i) GROUP BY c"
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(f.e, o.e) AS e FROM c{r} AS o LEFT JOIN ({mean}) AS f ON f.c = o.c)")
+    sums = "CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia"
+    return f"WITH {', '.join(steps)} SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance, {sums}, sha256(array_to_string(m.e, ',')) AS centroid_sha256 FROM a{rounds} AS a JOIN c{rounds} AS m ON m.c = a.c"
+
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -180,3 +199,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op13_centroid_clusters", _clusters_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding")).drop("centroid")
