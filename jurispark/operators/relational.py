@@ -8,21 +8,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jurispark.sources.shared import keep
+
 #: Rows of an ordinal block.
 BLOCK = 1 << 20
 
 
-def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
-    """1-based position in scan order: place inside the partition plus the rows of the partitions before.
+def with_ordinal(df: DataFrame, name: str = "ordinal", by: tuple[str, ...] = ()) -> DataFrame:
+    """1-based position: place inside the partition plus the rows of the partitions before. Rows lie in the order of their
+    partitions, so a sorted frame is numbered in its order; those of a scan lie in the order of ``by``, columns that
+    tell a split from all others (a scan deals out splits by size, not by name).
 
-    The partitions' counts are one row each; neither a sort nor a shuffle of the rows is needed.
+    Rows are written once with their places, and both the counts and the positions come from what was written: a frame that
+    is evaluated twice may be dealt out in another way the second time. The rows are neither shuffled nor sorted; what is
+    broadcast is one row a split.
     """
-    placed = df.withColumn("__m", F.monotonically_increasing_id())
-    placed = placed.withColumn("__p", F.shiftright("__m", 33)).withColumn("__i", F.col("__m").bitwiseAND((1 << 33) - 1))
-    counts = placed.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
-    return placed.join(F.broadcast(starts), "__p").withColumn(name, F.col("__s") + F.col("__i") + 1).drop("__m", "__p", "__i", "__s")
+    rows = keep(df.withColumn("__m", F.monotonically_increasing_id())).withColumn("__p", F.shiftright("__m", 33))
+    splits = rows.groupBy(*by, "__p").agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__first"))
+    before = Window.orderBy(*by, "__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(*by, "__p", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
+    return rows.join(F.broadcast(starts), [*by, "__p"]).withColumn(name, F.col("__s") + F.col("__m") - F.col("__first") + 1).select(*df.columns, name)
 
 
 def running_total(df: DataFrame, value: Column, order: str, name: str = "running", block: int = BLOCK) -> DataFrame:

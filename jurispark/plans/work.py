@@ -17,6 +17,8 @@ from jurispark.plans.rules import _made, _pick
 from jurispark.sources import dumps, sinks
 from jurispark.sources.shared import cut, shared_dir
 
+#: Files that a made log is written to.
+FILES = 16
 REVIEW_LINE = "[[Category:覆盖版本未检查的裁判文书]]"
 #: Parts of a page as it stands, and what each becomes.
 INTROS = ["", "文书内容⏎甲市人民法院⏎民 事 判 决 书⏎", "甲市人民法院⏎⏎", "甲市人民法院民事判决书"]
@@ -95,9 +97,13 @@ _LOG = """SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN '{"type": "cre
 
 
 def _log(spark, sf_dir) -> str:
-    """A log in one file, in the order of the keys."""
-    path = f"{shared_dir(spark)}/log-{uuid.uuid4().hex}"
-    _made(spark, sf_dir, _LOG).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    """A log in many files that follow one another by name, in the order of the keys."""
+    return _written(_made(spark, sf_dir, _LOG), "log")
+
+
+def _written(rows, name: str) -> str:
+    path = f"{shared_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.repartitionByRange(FILES, "k").sortWithinPartitions("k").select("value").write.text(path)
     return path
 
 
@@ -118,9 +124,8 @@ def log_candidates(spark, sf_dir):
 def draft_slice(spark, sf_dir):
     """200 converted rows behind the first 100; empty lines don't count, broken ones do."""
     k = "CAST(o_orderkey AS STRING)"
-    path = f"{shared_dir(spark)}/drafts-{uuid.uuid4().hex}"
     lines = f"""SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN ' ' WHEN 1 THEN '{{"title": "t", "final_title": "f' || {k} || '", "wenshu_id": "", "wenshuID": "w' || {k} || '"}}' WHEN 2 THEN '{{"title": "f' || {k} || '", "wenshu_id": "w' || {k} || '"}}' ELSE '{{broken' END AS value FROM orders"""
-    _made(spark, sf_dir, lines).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    path = _written(_made(spark, sf_dir, lines), "drafts")
     return cut(dumps.read_drafts(spark, path, skip=100, limit=200, overwrite=True).select("ordinal", "title", "wenshu_id"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """df as a table of the shared folder, written once: whoever reads it sees the same rows, however often it is evaluated,
+    and whatever became of the settings that its scan was dealt out by."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
