@@ -23,6 +23,8 @@ SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 32_768, 8192, 2000
 #: Packed bytes that are inflated at a time, and rows that a task gives back at a time.
 INFLATE_BYTES, OUT_ROWS, OUT_BYTES = 1 << 16, 500, 1 << 24
 END = b"\r\n\r\n"
+#: What a chunk size consists of.
+HEX_DIGITS = b"0123456789abcdefABCDEF"
 HTTP = "application/http;msgtype=response"
 #: Records whose payload is read; others (warcinfo, request, metadata, conversion) are passed over.
 READ = ("response", "resource", "revisit")
@@ -42,7 +44,10 @@ def unchunk(framed: bytes) -> bytes:
         line = framed.find(b"\r\n", at)
         if line < 0:
             raise ValueError("chunk size missing")
-        size = int(framed[at:line].split(b";")[0], 16)
+        said = framed[at:line].split(b";")[0].strip(b" \t")
+        if not said or said.strip(HEX_DIGITS):  # a sign or a prefix is no size
+            raise ValueError("chunk size malformed")
+        size = int(said, 16)
         at = line + 2
         if not size:
             return b"".join(out)

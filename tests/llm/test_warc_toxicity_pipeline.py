@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 def test_chunks():
     for body in (b"", b"x", b"a\r\n" * 9000, os.urandom(20_000)):
         assert W.unchunk(W.chunked(body, 1000)) == body
-    for bad in (b"", b"5\r\nab", b"2\r\nabXX0\r\n\r\n"):
+    for bad in (b"", b"5\r\nab", b"2\r\nabXX0\r\n\r\n", b"1\r\nA\r\n-6\r\n", b"0x1\r\nA\r\n0\r\n\r\n", b"+1\r\nA\r\n0\r\n\r\n", b"1_0\r\n", b"\r\n", b" ;a\r\n", b"\xb2\r\n"):
         with pytest.raises(ValueError):
             W.unchunk(bad)
 
