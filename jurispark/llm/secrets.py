@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ PLACEHOLDERS = r"(?i)[^/=]*(?:example|placeholder|changeme|dummy|sample|your_|xx
 #: whose characters are all that there are. Without bits no entropy makes a secret: words and paths, and numbers.
 WINDOW = 20
 CLASSES = (("words", "A-Za-z_=/+-", None), ("numbers", "0-9_=/+-", None), ("hex", "0-9a-fA-F", 3.0), ("alphanumeric", "A-Za-z0-9", 3.8), ("base64", "A-Za-z0-9+/=", 3.8), ("base64url", "A-Za-z0-9_=-", 3.8), ("mixed", "A-Za-z0-9+/_=-", 3.9))
+#: What one bit counts in sums of entropies.
+UNIT = 1 << 40
 #: Matches whose places are summed up together.
 CHUNK = 512
 
@@ -54,27 +58,35 @@ def _spans(text: Column, pattern: str, kind: str) -> Column:
 def _entropy(string: Column) -> Column:
     """The greatest Shannon entropy of any WINDOW characters in a row, in bits a character.
 
-    The windows slide over the string; each step counts one character in and one out, and moves the running
-    sum of c * log2(c) by the two counts that change.
+    The window slides over the string as its WINDOW characters and the sum of c * log2(c) over their counts c. A step takes
+    the first out and one in, looks up how often the window holds either, and moves the sum by what these two counts
+    change. So a step takes the time of a window, whatever the length of the string.
     """
+    # in whole numbers, so that a long way of steps doesn't drift
+    weights = F.array(*[F.lit(round(c * math.log2(c) * UNIT) if c else 0).cast("long") for c in range(WINDOW + 1)])
+    weight = lambda c: F.get(weights, c)
+    count = lambda window, c: F.size(F.filter(window, lambda x: x == c))
+
+    def move(state: Column, new: Column) -> Column:
+        def counted(change: Column) -> Column:
+            # the character that goes leaves one less behind; the one that comes adds to what is left
+            total = state["sum"] - weight(change["out"]) + weight(change["out"] - 1) - weight(change["in"]) + weight(change["in"] + 1)
+            window = F.concat(F.slice(state["window"], 2, WINDOW - 1), F.array(new))
+            return F.struct(window.alias("window"), total.alias("sum"), F.least(state["least"], total).alias("least"))
+
+        old = state["window"][0]
+        change = F.struct(count(state["window"], old).alias("out"), (count(state["window"], new) - F.when(new == old, 1).otherwise(0)).alias("in"))
+        return let(change, counted)
+
+    def slid(codes: Column) -> Column:
+        first = F.slice(codes, 1, WINDOW)
+        total = F.aggregate(F.array_distinct(first), F.lit(0).cast("long"), lambda s, c: s + weight(count(first, c)))
+        start = let(total, lambda t: F.struct(first.alias("window"), t.alias("sum"), t.alias("least")))
+        return F.aggregate(F.slice(codes, WINDOW + 1, F.size(codes)), start, move, lambda s: s["least"])
+
     codes = F.transform(F.filter(F.split(string, ""), lambda c: c != ""), lambda c: F.ascii(c))
-    steps = F.flatten(F.transform(codes, lambda c, i: F.when(i >= WINDOW, F.array(F.struct(c.alias("code"), F.lit(1).alias("by")), F.struct(F.element_at(codes, i - WINDOW + 1).alias("code"), F.lit(-1).alias("by")))).otherwise(F.array(F.struct(c.alias("code"), F.lit(1).alias("by"))))))
-    weight = lambda c: F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
-
-    def move(state: Column, step: Column) -> Column:
-        old = F.element_at(state["counts"], step["code"])
-        total = state["sum"] + weight(old + step["by"]) - weight(old)
-        held = state["held"] + step["by"]
-        bits = F.lit(WINDOW).cast("double")
-        return F.struct(
-            F.transform(state["counts"], lambda c, i: F.when(i + 1 == step["code"], c + step["by"]).otherwise(c)).alias("counts"),
-            held.alias("held"),
-            total.alias("sum"),
-            F.when(held == WINDOW, F.greatest(state["best"], F.log2(bits) - total / bits)).otherwise(state["best"]).alias("best"),
-        )
-
-    start = F.struct(F.array_repeat(F.lit(0), 127).alias("counts"), F.lit(0).alias("held"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    return F.aggregate(steps, start, move, lambda s: s["best"])
+    bits = F.lit(WINDOW).cast("double")
+    return F.log2(bits) - let(codes, slid) / (bits * UNIT)
 
 
 def find_secrets(docs: DataFrame, *, text_col: str = "text", out: str = "secrets") -> DataFrame:
