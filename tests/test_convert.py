@@ -63,6 +63,16 @@ def test_table_and_list():
     assert (found.kind, found.ordered, found.items) == ("LIST", True, ["一", "二"])
 
 
+def test_bodies_nested_to_any_depth():
+    deep = 100_000
+    found = html.blocks("<div>" * deep + "甲" + "</div>" * deep)
+    assert [(b.kind, b.text) for b in found] == [("PARAGRAPH", "甲")]
+    assert [b.text for b in html.blocks("<section>" * deep + "甲", descend=True)] == ["甲"]
+    (table,) = html.blocks("<font>" * deep + "<table><tr><td>" + "<b>" * deep + "|甲")
+    assert html.table_wikitext(table.table) == '{| class="wikitable"\n|-\n| &#124;甲\n|}'
+    assert [b.text for b in html.blocks("<b>" * deep + "</i>" * deep + "</b>" * deep + "<p>甲")] == ["甲"]
+
+
 def test_segments_without_header_and_short_bodies():
     doc = html.segment(html.blocks(body((GAP, "正文"), (RIGHT, "审判长　王某"))))
     assert [b.kind for b in doc.body] == ["PARAGRAPH", "SIGNATURE"] and doc.signatures == [] and doc.date is None

@@ -13,11 +13,13 @@ VALUES = {"title": "甲案", "court": "甲市人民法院", "type": "民事判
 HEAD = "{{Header/裁判文书\n|title = 甲案\n|court = 甲市人民法院\n|type = 民事判决书\n|案号 = （2024）甲01民初1号\n|year = 2024\n|month = \n|day = \n|loc = \n|docid = d1\n|docid3 = d3\n|docid10 = d10\n}}\n"
 
 
-def test_compact_places():
-    assert B.compact_places(" a (b)　c") == ("a（b）c", [1, 3, 4, 5, 7])
+def test_drop_prefix():
     assert B.drop_prefix("甲 市(一) 余", "甲市（一）") == " 余" and B.drop_prefix("乙", "甲") == "乙" and B.drop_prefix("乙", "") == "乙"
 
 
+    assert B.drop_prefix(" a (b)　c", "a（b）") == "　c" and B.drop_prefix("a.c", "abc") == "a.c"
+
+
 def test_header_and_params():
     assert B.build_header(VALUES) + "\n" == HEAD
     text = "x\n{{Header/裁判文书\n|title = 甲案 \n| court =旧\n}}\nbody"
