@@ -81,9 +81,9 @@ def case_title(spark, sf_dir):
     CASE WHEN shown <> '' THEN '3' WHEN doc_num % 3 = 2 THEN CAST(CAST(substr(s31, 6, 2) AS INT) AS VARCHAR) END AS month,
     CASE WHEN shown <> '' THEN '8' WHEN doc_num % 3 = 2 THEN CAST(CAST(substr(s31, 9, 2) AS INT) AS VARCHAR) END AS day FROM p""")
 def date_fallback(spark, sf_dir):
-    rows = raw(spark, sf_dir)
-    shown = F.regexp_extract("qwContent", r"(\d{4}年3月8日)", 1)
-    date = M.resolve_date(M.date_of_text(shown), M.date_of_iso(F.col("s31"), AS_OF), M.case_number(F.col("s7")), AS_OF)
+    """The date that the body is signed with, else that of the row, else the year of the case number."""
+    rows = C.parse_bodies(raw(spark, sf_dir).select("doc_num", "s7", "s31", "qwContent"))
+    date = M.resolve_date(M.date_of_text(F.col("found_date")), M.date_of_iso(F.col("s31"), AS_OF), M.case_number(F.col("s7")), AS_OF)
     return rows.select("doc_num", date["year"].alias("year"), date["month"].alias("month"), date["day"].alias("day"))
 
 
