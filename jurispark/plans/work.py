@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from jurispark.functions import metadata as M
 from jurispark.functions import text as T
 from jurispark.operators import convert as C
+from jurispark.operators import history
 from jurispark.operators import jobs as J
 from jurispark.operators import places as L
 from jurispark.plans.court import AS_OF, RAW, raw
-from jurispark.plans.registry import query
+from jurispark.plans.registry import query, table
 from jurispark.plans.rules import _made, _pick
 from jurispark.sources import dumps, sinks
 from jurispark.sources.shared import cut, shared_dir
@@ -165,3 +166,30 @@ _NUMBERED = [("（2023）京01民初5号", "（2023）京01民初5号"), ("合
 def text_inference(spark, sf_dir):
     pages = _made(spark, sf_dir, f"SELECT o_orderkey AS k, replace({_pick([a for a, _, _ in _SHOWN], 'o_orderkey')} || {_pick([a for a, _ in _NUMBERED], 'floor(o_orderkey / 3)')} || '⏎' || {_pick(['二〇二三年五月六日⏎二〇二四年一月二日', '2023年3月8日', ''], 'floor(o_orderkey / 15)')}, '⏎', chr(10)) AS content FROM orders")
     return J.infer_from_text(pages).select("k", "court", "doc_type", "case_number", T.or_empty(F.col("date.year")).alias("year"))
+
+
+#: Histories of customers' pages: ids in no order, every fifth edit made on the one before the last, every thirteenth lost.
+_EDITS = """SELECT * FROM (SELECT o_custkey AS page, o_orderkey % 97 * 1000000 + o_orderkey AS revid,
+    coalesce(CASE WHEN o_orderkey % 5 = 0 THEN lag(o_orderkey % 97 * 1000000 + o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) ELSE lag(o_orderkey % 97 * 1000000 + o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) END, 0) AS parentid
+  FROM orders) AS e WHERE revid % 13 > 0"""
+
+
+@query("parent_chains", f"""WITH RECURSIVE e AS ({_EDITS}), own AS (SELECT e.*, parentid > 0 AND up.revid IS NULL AS orphan, up.revid IS NULL AS first FROM e LEFT JOIN (SELECT revid FROM e) AS up ON up.revid = e.parentid),
+  chain AS (SELECT revid, revid AS root, 1 AS depth FROM own WHERE first UNION ALL SELECT own.revid, chain.root, chain.depth + 1 FROM own JOIN chain ON own.parentid = chain.revid)
+  SELECT page, revid, root, CAST(depth AS BIGINT) AS depth, (SELECT count(*) FROM e AS c WHERE c.parentid = own.revid) AS children, orphan FROM own JOIN chain USING (revid)""")
+def parent_chains(spark, sf_dir):
+    """Where each edit stands in its page's history, by the links between edits alone."""
+    return history.parent_chains(_made(spark, sf_dir, _EDITS)).select("page", "revid", "root", "depth", "children", "orphan")
+
+
+@query("movable_redirects", f"""WITH e AS ({_EDITS}), n AS (SELECT page, count(*) AS n FROM e GROUP BY page)
+  SELECT c_custkey AS source, c_custkey + 1 AS target, coalesce(c_custkey % 3 > 0 AND n = 1, false) AND c_custkey < (SELECT max(c_custkey) FROM customer) AS movable FROM customer LEFT JOIN n ON page = c_custkey + 1""")
+def movable_redirects(spark, sf_dir):
+    """Moves of customers' pages to their neighbours, of which two in three redirect to them."""
+    edits = _made(spark, sf_dir, _EDITS).select(F.col("page").cast("string").alias("title"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    before = (F.col("c_custkey") - 1).cast("string")
+    pages = customers.select(F.col("c_custkey").cast("string").alias("title"), F.when((F.col("c_custkey") - 1) % 3 > 0, before).alias("redirect"))
+    moves = customers.select(F.col("c_custkey").cast("string").alias("source"), (F.col("c_custkey") + 1).cast("string").alias("target"))
+    found = history.movable(moves, pages, edits)
+    return found.select(F.col("source").cast("long").alias("source"), F.col("target").cast("long").alias("target"), "movable")
