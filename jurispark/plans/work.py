@@ -15,7 +15,7 @@ from jurispark.operators import places as L
 from jurispark.plans.court import AS_OF, RAW, raw
 from jurispark.plans.registry import query, table
 from jurispark.plans.rules import _made, _pick
-from jurispark.sources import dumps, sinks
+from jurispark.sources import commits, dumps, sinks
 from jurispark.sources.shared import cut, shared_dir
 
 #: Files that a made log is written to.
@@ -193,3 +193,19 @@ def movable_redirects(spark, sf_dir):
     moves = customers.select(F.col("c_custkey").cast("string").alias("source"), (F.col("c_custkey") + 1).cast("string").alias("target"))
     found = history.movable(moves, pages, edits)
     return found.select(F.col("source").cast("long").alias("source"), F.col("target").cast("long").alias("target"), "movable")
+
+
+@query("committed_runs", f"""WITH raw AS ({RAW}), r AS (SELECT *, s1 <> '' AND qwContent <> '' AS ok, CASE WHEN doc_num <= (SELECT max(doc_num) FROM raw) / 2 THEN 0 ELSE 1 END AS run FROM raw)
+  SELECT run, CASE WHEN ok THEN 'success' ELSE 'errors' END AS output, count(*) AS n, count(DISTINCT wsKey) AS ids, (SELECT max(doc_num) FROM raw) AS last_doc_num FROM r GROUP BY run, ok""")
+def committed_runs(spark, sf_dir):
+    """The convert job in two runs, each with its outputs and totals committed together, and an attempt in between that
+    stopped before its manifest."""
+    root, rows = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}", cut(raw(spark, sf_dir))
+    half = rows.agg(F.max("doc_num")).first()[0] / 2
+    commits.convert_run(rows.where(F.col("doc_num") <= half), root, as_of=AS_OF)
+    rows.select("wsKey").write.json(f"{root}/success/run-000000001-stopped")
+    state = commits.convert_run(rows, root, as_of=AS_OF)
+    key = {"success": F.col("wenshu_id"), "errors": F.get_json_object("raw_json", "$.wsKey")}
+    parts = [commits.read_committed(spark, root, n).select("run", F.lit(n).alias("output"), k.alias("id")) for n, k in key.items()]
+    counts = parts[0].unionByName(parts[1]).groupBy("run", "output").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
+    return counts.withColumn("last_doc_num", F.lit(state["last_doc_num"]).cast("long"))
