@@ -14,9 +14,10 @@ from jurispark.operators import jobs as J
 from jurispark.operators import places as L
 from jurispark.plans.court import AS_OF, RAW, raw
 from jurispark.plans.registry import query, table
-from jurispark.plans.rules import _made, _pick
+from jurispark.plans.rules import TEXTS, _made, _pick
 from jurispark.sources import commits, dumps, sinks
 from jurispark.sources.shared import cut, shared_dir
+from jurispark.streaming.first import first_wins_stream
 
 #: Files that a made log is written to.
 FILES = 16
@@ -209,3 +210,28 @@ def committed_runs(spark, sf_dir):
     parts = [commits.read_committed(spark, root, n).select("run", F.lit(n).alias("output"), k.alias("id")) for n, k in key.items()]
     counts = parts[0].unionByName(parts[1]).groupBy("run", "output").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
     return counts.withColumn("last_doc_num", F.lit(state["last_doc_num"]).cast("long"))
+
+
+_DIRTY = f"SELECT k, CAST(k AS STRING) || ':' || replace(replace(x, chr(10), '/'), chr(13), '/') || CASE k % 3 WHEN 0 THEN chr(13) ELSE '' END AS value FROM ({TEXTS}) AS t"
+
+
+@query("stripped_file", f"SELECT CAST(split_part(value, ':', 1) AS BIGINT) AS k, hex(encode(replace(replace(value, chr(8203), ''), chr(65279), ''))) AS bytes FROM ({_DIRTY}) AS d")
+def stripped_file(spark, sf_dir):
+    """Files of dirty lines, some of which end with a carriage return, read back as bytes when they are clean."""
+    folder = f"{shared_dir(spark)}/strip-{uuid.uuid4().hex}"
+    _made(spark, sf_dir, _DIRTY).repartitionByRange(4, "k").select("value").write.option("lineSep", "\n").text(f"{folder}/in")
+    sources = spark.read.text(f"{folder}/in").inputFiles()
+    for i, source in enumerate(sources):
+        dumps.strip_file(spark, source, f"{folder}/out/{i}")
+    lines = spark.read.option("lineSep", "\n").text([f"{folder}/out/{i}" for i in range(len(sources))])
+    return lines.select(F.substring_index("value", ":", 1).cast("long").alias("k"), F.hex(F.col("value").cast("binary")).alias("bytes"))
+
+
+@query("first_seen_stream", "SELECT CAST(o_custkey AS VARCHAR) AS title, min(o_orderkey) AS revid FROM orders WHERE o_custkey % 7 > 0 GROUP BY o_custkey UNION ALL SELECT NULL, o_orderkey FROM orders WHERE o_custkey % 7 = 0")
+def first_seen_stream(spark, sf_dir):
+    """A stream of edits, of each page the first; edits without a title stand for themselves."""
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    edits = _made(spark, sf_dir, "SELECT CASE WHEN o_custkey % 7 > 0 THEN CAST(o_custkey AS STRING) END AS title, o_orderkey AS revid FROM orders")
+    edits.repartitionByRange(FILES, "revid").write.json(f"{folder}/in")
+    first_wins_stream(spark, f"{folder}/in", "title string, revid long", f"{folder}/out", f"{folder}/state", key="title", order="revid", otherwise="revid").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
