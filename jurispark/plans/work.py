@@ -15,7 +15,7 @@ from jurispark.operators import places as L
 from jurispark.plans.court import AS_OF, RAW, raw
 from jurispark.plans.registry import query, table
 from jurispark.plans.rules import TEXTS, _made, _pick
-from jurispark.sources import commits, dumps, sinks
+from jurispark.sources import commits, dumps, early, sinks
 from jurispark.sources.shared import cut, shared_dir
 from jurispark.streaming.first import first_wins_stream
 
@@ -235,3 +235,26 @@ def first_seen_stream(spark, sf_dir):
     edits.repartitionByRange(FILES, "revid").write.json(f"{folder}/in")
     first_wins_stream(spark, f"{folder}/in", "title string, revid long", f"{folder}/out", f"{folder}/state", key="title", order="revid", otherwise="revid").awaitTermination()
     return spark.read.parquet(f"{folder}/out")
+
+
+_PLACES = "SELECT o_orderkey AS k, sum(octet_length(encode(value)) + 1) OVER (ORDER BY o_orderkey) - octet_length(encode(value)) - 1 AS bytes, row_number() OVER (ORDER BY o_orderkey) AS line, value FROM (SELECT o_orderkey, '{\"id\": ' || o_custkey || ', \"k\": ' || o_orderkey || ', \"张\": 1}' AS value FROM orders)"
+_RECORDS = "SELECT o_orderkey AS k, '{\"id\": ' || CAST(o_custkey AS STRING) || ', \"k\": ' || CAST(o_orderkey AS STRING) || ', \"张\": 1}' AS value FROM orders"
+
+
+@query("early_lines", f"""WITH p AS ({_PLACES}), m AS (SELECT max(k) AS m FROM p) SELECT q AS part, min(line) AS line, CAST(min(bytes) AS BIGINT) AS bytes, arg_min(value, k) AS value
+  FROM p, m, (VALUES (0), (1), (3), (7)) AS t(q) WHERE k >= m * q // 8 AND k % 3 = 0 GROUP BY q""")
+def early_lines(spark, sf_dir):
+    """The first record at or behind some places of a log, found without reading what is behind; line and byte over all files."""
+    path = _written(_made(spark, sf_dir, _RECORDS), "records")
+    last, k = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0], F.get_json_object("value", "$.k").cast("long")
+    found = [(q, early.first_line(spark, path, (k >= last * q // 8) & (k % 3 == 0), first=2)) for q in (0, 1, 3, 7)]
+    return spark.createDataFrame([(q, f.total_line, f.total_offset, f.value) for q, f in found if f], "part int, line long, bytes long, value string")
+
+
+@query("early_ids", "SELECT o_custkey AS id, min(o_orderkey) AS k FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3) GROUP BY o_custkey")
+def early_ids(spark, sf_dir):
+    """Of each wanted customer the first record, in rounds that look for those not found yet."""
+    path = _written(_made(spark, sf_dir, _RECORDS), "records")
+    wanted = table(spark, sf_dir, "customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("id"))
+    found, _ = early.first_rows(spark, path, F.get_json_object("value", "$.id").cast("long"), wanted, first=2)
+    return found.select("id", F.get_json_object("value", "$.k").cast("long").alias("k"))
