@@ -369,3 +369,18 @@ def import_histories(spark, sf_dir) -> DataFrame:
   FROM (SELECT 'p' || o_custkey AS title, CASE WHEN count(*) < 3 THEN 'fewer_than_three_revisions' ELSE {_pick([r for _, _, r in IMPORTS], 'o_custkey')} END AS reason FROM orders GROUP BY o_custkey)""")
 def import_decisions(spark, sf_dir):
     return V.clear_bad_imports(import_histories(spark, sf_dir)).select("title", "action", "reason")
+
+
+#: Masks side by side, what they are when they are merged, and their form in comparisons.
+_SIDE = [("{{PRC-redact|1}}{{PRC-redact|2}}", "{{PRC-redact|3}}", "{{PRC-redact|3}}"), ("{{PRC-redact|1}}×", "{{PRC-redact|2}}", "{{PRC-redact|2}}"), ("×{{PRC-redact|2}}×", "{{PRC-redact|4}}", "{{PRC-redact|4}}"), ("××", "{{PRC-redact|2}}", "{{PRC-redact|2}}"), ("×", "×", "{{PRC-redact|1}}"), ("{{PRC-redact|5}}", "{{PRC-redact|5}}", "{{PRC-redact|5}}"), ("丁", "丁", "丁")]
+
+
+def _sides(part: int) -> str:
+    return f"'甲' || {_pick([s[part] for s in _SIDE], 'o_orderkey')} || '乙' || {_pick([s[part] for s in _SIDE], 'floor(o_orderkey / 7)')} || '丙'"
+
+
+@query("redaction_forms", f"SELECT o_orderkey AS k, {_sides(1)} AS merged, {_sides(2)} AS canonical FROM orders")
+def redaction_forms(spark, sf_dir):
+    """Masks that stand side by side, merged, and in the form that texts are compared in."""
+    rows = _made(spark, sf_dir, f"SELECT o_orderkey AS k, {_sides(0)} AS x FROM orders")
+    return rows.select("k", T.merge_redactions(F.col("x")).alias("merged"), T.canonical_redactions(F.col("x")).alias("canonical"))
