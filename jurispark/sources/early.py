@@ -1,7 +1,7 @@
 """Scans of files of lines that stop once they have what they look for.
 
-Files are read by name in rounds, each with twice as many as the one before, so that all cores have work and at most
-about twice the files that are needed are read. The files of a round are read by split, side by side.
+Files are read by name in rounds, each with twice as many as the one before, so that all cores have work. What is
+read is less than twice the files that are needed and one first round. The files of a round are read by split, side by side.
 """
 
 from __future__ import annotations
