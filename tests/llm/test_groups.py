@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,3 +210,38 @@ def test_ids_of_any_type(spark):
         assert found.columns == wanted.columns
         said = lambda r, f: str({k: f(v) if k in ids else v for k, v in r.asDict().items()})
         assert sorted(said(r, str) for r in found.collect()) == sorted(said(r, lambda v: str(name(v))) for r in wanted.collect())
+
+
+def test_scratch_tables_go_early(spark, monkeypatch):
+    live, most, whole = set(), [], N.scratch
+
+    @contextmanager
+    def counted(session):
+        with whole(session) as keep:
+
+            def one(df):
+                out = keep(df)
+                live.add(id(out))
+                most.append(len(live))
+                return out
+
+            def drop(*tables):
+                live.difference_update(map(id, tables))
+                keep.drop(*tables)
+
+            one.drop = drop
+            yield one
+
+    monkeypatch.setattr(N, "scratch", counted)
+    N.near_groups(frame(spark, corpus())).collect()
+    assert len(most) > 10 and max(most) <= 8
+
+
+def test_only_rows_in_question_move(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * 9 + str(i)) for i in range(200)] + [(500, "a b c d e f g"), (501, "a b c d e f g"), (502, "x y z"), (502, "v w"), (None, "n"), (1, "a b c d e f g")], "doc_id long, text string")
+    kept = N.keep_one(docs)
+    rows = {(r.doc_id, r.text) for r in kept.collect()}
+    assert (502, "v w") in rows and (502, "x y z") not in rows and (None, "n") in rows
+    assert {d for d, _ in rows} == {*range(200), 502, None} and kept.count() == 202
+    maybe = N._maybe(docs, F.col("doc_id"), N._filter(docs.where("doc_id IN (3, 502)"))).where("__maybe").collect()
+    assert {3, 502} <= {r.doc_id for r in maybe} and len(maybe) < 50
