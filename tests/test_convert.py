@@ -1,4 +1,8 @@
 import json
+import subprocess
+import sys
+
+from pyspark import cloudpickle
 
 from jurispark.functions import html, render
 from jurispark.operators import convert as C
@@ -115,3 +119,20 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         (tmp_path / "in" / f"{n}.json").write_text(json.dumps({"s1": f"标题{n}", "qwContent": "<p>正文。</p>"}, ensure_ascii=False), encoding="utf-8")
         run()
     assert sorted(r.title for r in spark.read.json(f"{tmp_path}/out").collect()) == ["标题1", "标题2"]
+
+
+def test_counters_make_no_fields(spark):
+    raw = spark.createDataFrame([(1, "题", "院", "号", "", "", "id", "<p>文</p>"), (2, "", "院", "号", "", "", "id", "<p>文</p>")], "doc_num long, s1 string, s2 string, s7 string, s22 string, s31 string, wsKey string, qwContent string")
+    counted = C.counters(C.convert(raw, as_of=2026))
+    assert "PRC-redact" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert tuple(counted.first()) == (1, 1, 2)
+
+
+def test_plain_sources_need_no_parser(monkeypatch):
+    plain = ['<DIV ALIGN="Right" style="">甲<p>乙<p>丙</DIV></p>丁<br><ul><li>一<li>二</ul>', "<table><tr><td>a<td>b<tr><th>c</table>", "<html><body><p>x</body>", "a<b>c</b></i>d", ""]
+    other = ["a &amp; b", "<!-- x --><p>y", "<script><p></script>z", "a < b", "<p class=x>y", "<p/>x", "<p a='b'>x"]
+    assert all(html._plain_tree(s) is not None for s in plain) and all(html._plain_tree(s) is None for s in other)
+    trees = [html.parse(s) for s in plain]
+    monkeypatch.setattr(html, "_plain_tree", lambda source: None)
+    assert trees == [html.parse(s) for s in plain]
+    assert subprocess.run([sys.executable, "-c", "import sys, pickle; print(len(pickle.load(sys.stdin.buffer)('<p>x</p>')))"], input=cloudpickle.dumps(html.blocks), capture_output=True, cwd="/").stdout.strip() == b"1"
