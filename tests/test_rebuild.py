@@ -98,3 +98,19 @@ def test_counters_and_reports(spark):
         R.require_classified(titles, a, b)
     R.require_classified(titles, a, b, titles)
     assert R.throughput(spark.createDataFrame([(3, 1)], "x int, y int"), 2.0, "x", "y").first().per_second == 2.0
+
+
+def test_prefixes_of_pages_compile_no_patterns(monkeypatch):
+    """A page's own number in the prefix must not cost a pattern a page."""
+    import re
+
+    assert B.drop_prefix(" 甲 法院（2024） 1号：余", "甲法院(2024)1号") == "：余"
+    assert B.drop_prefix("甲法院", "甲法院（") == "甲法院" and B.drop_prefix(" 甲", "") == " 甲" and B.drop_prefix("　甲", "甲") == ""
+    B.rebuild_page("甲法院（2024）1号\n首段。", {"court": "甲法院", "案号": "（2024）1号"})
+    made = []
+    own = re._compiler.compile
+    monkeypatch.setattr(re._compiler, "compile", lambda *a: made.append(a) or own(*a))
+    for i in range(50):
+        page = B.rebuild_page(f"甲法院(2025){i}号\n首段。", {"court": "甲法院", "案号": f"（2025）{i}号"})
+        assert page.endswith("}}\n{{gap}}首段。\n")
+    assert not made
