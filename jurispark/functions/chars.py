@@ -12,6 +12,8 @@ MARKERS, X_MARKERS = "×XxＸｘ*＊∗✱﹡⁎٭※", "XxＸｘ"
 NEWER = ((0x9FFD, 0x9FFF), (0x4DB6, 0x4DBF), (0x2A6DE, 0x2A6DF), (0x2B735, 0x2B739), (0x2EBF0, 0x2EE5D), (0x31350, 0x323AF))
 #: White space as text trimming sees it.
 SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same, character by character.
+SPACES = "".join(chr(c) for a, b in ((9, 13), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)) for c in range(a, b + 1))
 HAN = r"\u4e00-\u9fff"
 #: Endings of document types; the first in this order that a title ends with is its type.
 TYPE_SUFFIXES = (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from jurispark.functions.chars import CJK, MARKERS, MASKED, NEWER, SIGNING, SPACE, TEMPLATE, java_class
+from jurispark.functions.chars import CJK, MARKERS, MASKED, NEWER, SIGNING, SPACE, SPACES, TEMPLATE, java_class
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -30,11 +30,11 @@ def or_empty(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"[{SPACE}]+\z", "")
+    return F.rtrim(text, F.lit(SPACES))
 
 
 def compact(text: Column) -> Column:
@@ -86,7 +86,7 @@ def mark_title_redactions(text: Column) -> Column:
 
 
 def masked_runs(text: Column) -> Column:
-    return F.regexp_extract_all(or_empty(text), F.lit(MASKED), F.lit(0))
+    return let(or_empty(text), lambda t: F.when(t.rlike(f"[{MARKERS}]"), F.regexp_extract_all(t, F.lit(MASKED), F.lit(0))).otherwise(F.array().cast("array<string>")))
 
 
 def raw_marker_count(text: Column) -> Column:

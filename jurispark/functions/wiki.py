@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from jurispark.functions.chars import HAN, MARKERS, PARTY, SPACE
+from jurispark.functions.chars import HAN, MARKERS, PARTY, SPACE, SPACES
 from jurispark.functions.metadata import case_number, case_title, court_name, doc_type
 from jurispark.functions.text import let, masked_runs, or_empty, rstrip, same_lines, strip, templates_to_crosses, title_score
 
@@ -21,18 +24,20 @@ def lines(text: Column) -> Column:
     return F.split(or_empty(text), r"\r\n|[\n\x0B\f\r\x1c-\x1e\x85\u2028\u2029]", -1)
 
 
+def starts(text: Column, *names: str) -> Column:
+    return reduce(or_, (F.startswith(text, F.lit(n)) for n in names))
+
+
 def template(text: Column, *names: str) -> Column:
     """Parameters of the first template with one of the names, one on each line, up to a line ``}}``; of equal keys the
     last counts. Null without the template or its end."""
-    names_at = "^(?:" + "|".join(n.replace("{", r"\{") for n in names) + ")"
-
     def behind(stripped: Column) -> Column:
-        start = F.array_position(F.transform(stripped, lambda s: F.lower(s).rlike(names_at)), True)
+        start = F.array_position(F.transform(stripped, lambda s: starts(F.lower(s), *names)), True)
         return let(start, lambda at: F.when(at > 0, F.slice(stripped, at.cast("int") + 1, F.size(stripped))))
 
     def pairs(rest: Column) -> Column:
         inside = let(F.array_position(rest, "}}"), lambda end: F.when(end > 0, F.slice(rest, F.lit(1), end.cast("int") - 1)))
-        return F.transform(F.filter(inside, lambda s: s.rlike(r"^\|[^=]*=")), lambda s: F.struct(strip(F.regexp_extract(s, r"^\|([^=]*)=", 1)).alias("key"), strip(F.regexp_extract(s, r"(?s)^\|[^=]*=(.*)$", 1)).alias("value")))
+        return F.transform(F.filter(inside, lambda s: F.startswith(s, F.lit("|")) & F.contains(s, F.lit("="))), lambda s: F.struct(strip(F.substring(F.substring_index(s, "=", 1), F.lit(2), F.length(s))).alias("key"), strip(F.substring(s, F.instr(s, "=") + 1, F.length(s))).alias("value")))
 
     def last(found: Column) -> Column:
         return F.map_from_entries(F.filter(found, lambda p, i: ~F.exists(F.slice(found, i + 2, F.size(found)), lambda q: q["key"] == p["key"])))
@@ -62,7 +67,7 @@ def is_document(text: Column) -> Column:
 
 
 def _starts(text: Column, *names: str) -> Column:
-    return F.lower(F.regexp_replace(or_empty(text), rf"^[{SPACE}]+", "")).rlike("^(?:" + "|".join(n.replace("{", r"\{") for n in names) + ")")
+    return let(F.lower(F.substring(F.ltrim(or_empty(text), F.lit(SPACES)), 1, 2 * max(map(len, names)))), lambda t: starts(t, *names))
 
 
 def is_disambiguation(text: Column) -> Column:
@@ -243,7 +248,8 @@ def structure_penalty(text: Column) -> Column:
     """Empty and dotted signatures, stray case numbers, lines with two roles."""
     body = same_lines(text)
     count = lambda p: F.regexp_count(body, F.lit(p))
-    merged = F.size(F.filter(lines(body), lambda s: s.rlike("(?:法官助理|审判长|审判员|人民陪审员|书记员)[:：]?.*(?:书记员|人民陪审员|法官助理)[:：]?")))
+    rest = r"[^\n\x0B\f\r\x1c-\x1e\x85\u2028\u2029]*"
+    merged = count(f"(?:法官助理|审判长|审判员|人民陪审员|书记员)[:：]?{rest}(?:书记员|人民陪审员|法官助理)[:：]?{rest}")
     return 12 * count(r"\{\{裁判文书署名\|1=\s*\}\}") + 10 * count(r"(?m)^\s*\{\{gap\}\}\.+(?:审判|人民陪审员|书记员|法官助理|二[〇零])") + 10 * count(r"(?m)^\s*\.+（[^）\n]+）[^\n]*号\s*$") + 8 * merged
 
 
@@ -262,10 +268,12 @@ def formatting_penalty(text: Column) -> Column:
     start = F.struct(F.lit(0).alias("sum"), F.lit("").alias("filled"), F.lit(True).alias("first"), F.lit(False).alias("blank"))
 
     def step(state: Column, line: Column) -> Column:
-        s = strip(line)
+        return let(strip(line), lambda s: stepped(state, s))
+
+    def stepped(state: Column, s: Column) -> Column:
         gapped = F.startswith(s, F.lit("{{gap}}"))
-        rest = F.when(gapped, strip(F.regexp_replace(s, r"^\{\{gap\}\}", ""))).when(s.rlike(f"^[{HAN}]"), s).otherwise("")
-        broken = (gapped | (~state["first"] & state["blank"])) & (state["filled"] != "") & continues(state["filled"], rest)
+        rest = F.when(gapped, strip(F.substring(s, F.lit(8), F.length(s)))).when(s.rlike(f"^[{HAN}]"), s).otherwise("")
+        broken = (gapped | (~state["first"] & state["blank"])) & (state["filled"] != "") & let(rest, lambda r: continues(state["filled"], r))
         return F.struct((state["sum"] + F.when(broken, 8).otherwise(0)).alias("sum"), F.when(s != "", s).otherwise(state["filled"]).alias("filled"), F.lit(False).alias("first"), (s == "").alias("blank"))
 
     return 4 * F.regexp_count(body, F.lit(rf"(?m)^(?!\{{\{{gap\}}\}})[{HAN}][^\n]{{1,40}}：\s*$")) + F.aggregate(lines(body), start, step, lambda s: s["sum"])
@@ -297,8 +305,7 @@ def header_type(text: Column) -> Column:
 
 
 def missing_fields(text: Column) -> Column:
-    h = header(text)
-    return F.filter(F.array(*[F.when(or_empty(h[k]) == "", F.lit(k)) for k in ("court", "type", "案号")]), lambda k: k.isNotNull())
+    return let(header(text), lambda h: F.filter(F.array(*[F.when(or_empty(h[k]) == "", F.lit(k)) for k in ("court", "type", "案号")]), lambda k: k.isNotNull()))
 
 
 def fix_country_categories(text: Column) -> Column:

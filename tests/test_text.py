@@ -79,3 +79,16 @@ def test_both_forms_agree(spark, native, single):
     values = ["", "张xx诉李**，×3", "（2024）京01民初1号之二", "北京 市 法院 判决书", "-1-", "a  b​{{PRC-redact|1}}x", "AXB aXXb ×.5"]
     rows = spark.createDataFrame([(v,) for v in values], "c string").select("c", native(F.col("c")).alias("r")).collect()
     assert {r.c: r.r for r in rows} == {v: single(v) for v in values}
+
+
+def test_trimming_is_no_pattern(spark):
+    """Ends are trimmed by a list of characters, the same as the class; a pattern went through the whole text for each end."""
+    import re
+
+    from jurispark.functions import chars
+
+    assert {chr(c) for c in range(0x10000) if re.match(f"[{chars.SPACE}]", chr(c))} == set(chars.SPACES)
+    x = F.col("x")
+    assert "regexp" not in str(T.strip(x)).lower() and "regexp" not in str(T.rstrip(x)).lower()
+    row = spark.createDataFrame([("\u3000\x1c a\u3000b \x85\n",)], "x string").select(T.strip(x).alias("s"), T.rstrip(x).alias("r")).first()
+    assert (row.s, row.r) == ("a\u3000b", "\u3000\x1c a\u3000b")
