@@ -239,7 +239,8 @@ def rescued_drafts(revisions: DataFrame, *, prefix: str = "Imported from 裁判
 OTHER_NUMBERS, NEAR = ("车架号", "房产证号", "发票号", "账号", "合同编号", "身份证号", "统一社会信用代码"), 10
 _BEHIND = "|".join(rf"{w}[\s\S]{{0,{NEAR - len(w)}}}" for w in OTHER_NUMBERS)
 _AHEAD = "|".join(rf"[\s\S]{{0,{NEAR - len(w)}}}{w}" for w in OTHER_NUMBERS)
-_CASE = rf"(?<!(?:{_BEHIND}))((?>[（(]20\d{{2}}[）)](?:(?!{'|'.join(OTHER_NUMBERS)})[^，。；：:\s\n]){{1,35}}?号(?:之[一二三四五六七八九十百千万〇零○]+)?))(?!{_AHEAD})"
+#: What is cheap to see is asked first: a parenthesis with a year, then what stands before it.
+_CASE = rf"(?=[（(]20\d{{2}}[）)])(?<!(?:{_BEHIND}))((?>[（(]20\d{{2}}[）)](?:(?!{'|'.join(OTHER_NUMBERS)})[^，。；：:\s\n]){{1,35}}?号(?:之[一二三四五六七八九十百千万〇零○]+)?))(?!{_AHEAD})"
 
 
 def infer_from_text(pages: DataFrame, *, cities=CITIES) -> DataFrame:
@@ -248,9 +249,11 @@ def infer_from_text(pages: DataFrame, *, cities=CITIES) -> DataFrame:
     last date there is."""
     parted = F.regexp_replace(T.or_empty(F.col("content")), r"\{\{gap\}\}|文书内容", "\n")
     shown = F.regexp_replace(F.regexp_replace(parted, r"\{\{[^{}]*\}\}|<[^<>]*>|'''?", ""), r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1")
+    # long runs of Han characters are gone through for what is there only: no pattern without its last word
+    ending = lambda text, words, pattern: F.when(text.rlike(words), F.regexp_extract(text, pattern, 1)).otherwise(F.when(text.isNotNull(), ""))
     rows = pages.withColumn("shown", shown).withColumn("head", F.substring("shown", 1, 2000))
-    rows = rows.withColumn("court", M.court_name(F.regexp_extract("head", r"([一-鿿]{2,30}?法院)", 1))).withColumn("case_number", M.case_number(F.regexp_extract(F.substring("shown", 1, 4000), _CASE, 1)))
-    rows = rows.withColumn("doc_type", F.regexp_extract(F.substring("shown", 1, 1000), r"([一-鿿]{0,8}(?:裁定书|判决书|决定书|通知书|调解书))", 1))
+    rows = rows.withColumn("court", M.court_name(ending(F.col("head"), "法院", r"([一-鿿]{2,30}?法院)"))).withColumn("case_number", M.case_number(F.regexp_extract(F.substring("shown", 1, 4000), _CASE, 1)))
+    rows = rows.withColumn("doc_type", ending(F.substring("shown", 1, 1000), "裁定书|判决书|决定书|通知书|调解书", r"([一-鿿]{0,8}(?:裁定书|判决书|决定书|通知书|调解书))"))
     dates = F.regexp_extract_all("shown", F.lit(r"([〇零一二三四五六七八九]{4}年[一二三四五六七八九十]+月[一二三四五六七八九十]+日|\d{4}年\d{1,2}月\d{1,2}日)"), F.lit(1))
     rows = rows.withColumn("date", M.date_of_text(F.when(F.size(dates) > 0, F.element_at(dates, -1))))
     return rows.withColumn("place", M.location(F.col("court"), cities)).drop("shown", "head")
