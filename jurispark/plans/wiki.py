@@ -242,12 +242,23 @@ def record_search(spark, sf_dir):
 BLOCKS = "page_id long, ord int, kind string, text string, indent boolean, items array<string>"
 
 
+#: Pages whose blocks are held at once.
+HELD = 128
+
+
+def pieces(batches):
+    """Batches of a few pages each: what a task holds goes with these, not with the rows that Spark sends at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, HELD):
+            yield batch.slice(at, HELD)
+
+
 def page_blocks_of(pages: DataFrame) -> DataFrame:
     """A row for each block of each page, wrappers looked into."""
 
     def run(batches):
         kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()))
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [(i, n, b.kind, b.text, b.indent, b.items) for i, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for n, b in enumerate(html.blocks(source or "", descend=True))]
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in BLOCKS.split(", ")])
@@ -275,7 +286,7 @@ def paragraph_merge(spark, sf_dir):
     """Bodies of pages as wikitext, with broken sentences joined."""
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             found = [html.blocks(s or "", descend=True) for s in batch.column(1).to_pylist()]
             merged = [render.merge(b) for b in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, found), pa.int32()), pa.array(map(len, merged), pa.int32()), pa.array([render.body(b) for b in found], pa.string())], names=["page_id", "blocks", "merged", "wikitext"])
