@@ -78,7 +78,7 @@ def masked_lists(spark, sf_dir):
     k = F.col("o_orderkey").cast("string")
     listed = lambda title, n: F.concat(F.lit("{{裁判文书消歧义页\n | title      = "), title, F.lit(f"\n | court      = 甲法院\n | type       = 判决书\n}}}}\n* [[甲法院（2024）{n}号判决书]]\n"))
     document = F.concat(F.lit("{{Header/裁判文书\n|title = x\n|court = 甲法院\n|type = 判决书\n|案号 = （2024）"), k, F.lit("号\n}}\n"))
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("kind", F.col("o_orderkey") % 5)
+    orders = table(spark, sf_dir, "orders", "o_orderkey").withColumn("kind", F.col("o_orderkey") % 5)
     clean = F.concat(F.lit("张××案"), k)
     sources = orders.select(F.concat(F.lit("张xx案"), k).alias("title"), listed(F.concat(F.lit("张xx案"), k), 2).alias("content"))
     there = orders.where("kind > 0").select(clean.alias("title"), F.when(F.col("kind") < 3, document).when(F.col("kind") == 3, listed(clean, 1)).otherwise("其他").alias("content"))
