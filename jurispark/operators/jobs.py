@@ -88,9 +88,14 @@ CONTAINERS = ("data", "document", "doc", "metadata", "page_metadata", "header",
 def record_metadata(records: DataFrame, column: str = "value") -> DataFrame:
     """Every logical field's values of a JSON row: at the top and in known containers, then in its wikitext's header,
     then what an original row's hierarchy tells."""
-    at = lambda names: [F.get_json_object(column, f"$['{a}']") for a in names] + [F.get_json_object(column, f"$['{c}']['{a}']") for c in CONTAINERS for a in names]
-    rows = records.withColumns({f: ordered_distinct(F.array(*at(names))) for f, names in ALIASES.items()})
-    rows = rows.withColumn("__h", W.header(F.coalesce(*at(("wikitext", "wiki_text", "text", "content")))))
+    # a row is parsed for the names that stand in it only; one with escapes may have any name
+    said = lambda name: F.contains(F.col(column), F.lit(name)) | F.contains(F.col(column), F.lit("\\"))
+    value = lambda path, name: F.when(said(name), F.get_json_object(column, path))
+    none = F.array().cast("array<string>")
+    inner = lambda c, names: F.when(said(c), F.array(*[value(f"$['{c}']['{a}']", a) for a in names])).otherwise(none)
+    at = lambda names: F.concat(F.array(*[value(f"$['{a}']", a) for a in names]), *[inner(c, names) for c in CONTAINERS])
+    rows = records.withColumns({f: ordered_distinct(at(names)) for f, names in ALIASES.items()})
+    rows = rows.withColumn("__h", W.header(F.get(F.array_compact(at(("wikitext", "wiki_text", "text", "content"))), 0)))
     inside = {"title": ["title"], "court": ["court"], "doc_type": ["type"], "case_number": ["案号"]}
     rows = rows.withColumns({f: ordered_distinct(F.concat(f, F.array(*[F.col("__h")[k] for k in keys]))) for f, keys in inside.items()})
     ids = F.map_values(F.map_filter(F.coalesce("__h", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))), lambda k, _: F.lower(k).startswith("docid")))

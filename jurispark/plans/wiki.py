@@ -234,7 +234,7 @@ def case_redirect_job(spark, sf_dir):
 
 @query("record_search", "SELECT o_orderkey AS line FROM orders WHERE o_orderkey % 4 = 1 AND o_orderpriority = '2-HIGH'")
 def record_search(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", "o_orderkey")
     value = F.to_json(F.struct(F.when(F.col("o_orderkey") % 4 == 1, "北京法院").otherwise("上海法院").alias("s2"), F.struct(F.col("o_orderpriority").alias("docType")).alias("document")))
     return J.search_records(o.select(F.col("o_orderkey").alias("line"), value.alias("value")), {"court": "^北京", "doc_type": "HIGH"}).select("line")
 
