@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Bytes of input for each core below which rows are dealt out.
-SMALL = 64 << 20
+#: Rows that one task gets of a table whose rows are costly, and bytes of a split of a file.
+ROWS, SPLIT = 1 << 16, 128 << 20
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -22,11 +22,19 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def parts(df: DataFrame) -> int:
+    """Over how many parts the rows of a scan are dealt out where they are costly: all cores, and more where a part would hold
+    more than ``ROWS`` rows, so that a task's work stays the same however large the table is. Rows are counted from the
+    files' footers."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A table of the folder. With ``key``, rows of a small table in fewer files than there are cores are dealt out by it:
-    a row group is one task's, however costly what is made of its rows. Larger tables are read as they lie."""
+    """A table of the folder. With ``key``, rows are dealt out by it, unless the splits of its files are as many parts: a
+    row group is one task's, however costly what is made of its rows."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if key is None or len(df.inputFiles()) >= cores or int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >= cores * SMALL:
+    if key is None:
         return df
-    return df.repartition(cores, key)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = parts(df)
+    return df if max(len(df.inputFiles()), size // SPLIT) >= n else df.repartition(n, key)

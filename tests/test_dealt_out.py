@@ -11,3 +11,18 @@ SF = "/root/testdata/sf0.001"
 def test_rows_of_one_file_are_dealt_out(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [o_orderkey" in plan
+
+
+def test_parts_grow_with_the_rows(spark, monkeypatch):
+    """A task's rows stay the same: before, a table was dealt out over the cores however many rows it had."""
+    from jurispark.plans import registry
+
+    monkeypatch.setattr(registry, "ROWS", 100)
+    for name in ("convert_route", "case_redirect_job", "masked_lists"):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" in plan and "], 15" in plan, name
+
+
+def test_rows_are_dealt_out_behind_the_join(spark):
+    plan = entry.queries()["convert_route"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("RepartitionByExpression [o_orderkey") < plan.index("Join")
