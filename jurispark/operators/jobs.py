@@ -16,22 +16,19 @@ from jurispark.functions import text as T
 from jurispark.functions import wiki as W
 from jurispark.functions.chars import CITIES
 from jurispark.operators.relational import anti_dedupe, first_tag, ordered_distinct, positional_join, union_ragged
+from jurispark.sources.shared import spread
 
 
 def case_redirects(records: DataFrame, pages: DataFrame) -> DataFrame:
     """records: line, title, wenshu_id; pages: title, content. Adds redirect_title, status and reason; of equal new
     redirects the first line's is made, later ones count as existing."""
-    value = lambda h, k: T.strip(T.or_empty(h[k]))
-
-    def said(h):
-        """What a header gives: a title, unless it is incomplete."""
-        court, number, kind = value(h, "court"), T.wide_parentheses(value(h, "案号")), value(h, "type")
-        return F.struct(h.isNotNull().alias("there"), F.when(h.isNotNull(), F.concat(court, number, kind)).alias("title"), ((court == "") | (number == "") | (kind == "")).alias("empty"))
-
+    value = lambda k: W.header_value(F.col("block"), k)
     # the header is read once for each page, not for each of its values
-    known = pages.select("title", F.lit(True).alias("there"), T.let(W.header(F.col("content")), said).alias("h"))
-    rows = records.join(known, "title", "left").withColumn("redirect_title", F.col("h.title"))
-    early = F.when(F.col("there").isNull(), "source_page_missing").when(~F.col("h.there"), "header_missing").when(F.col("h.empty"), "required_metadata_missing").when(F.col("redirect_title") == F.col("title"), "redirect_title_matches_source_title")
+    said = pages.select("title", W.header_block(F.col("content")).alias("block"))
+    said = said.select("title", (F.col("block") != "").alias("header"), value("court").alias("court"), T.wide_parentheses(value("案号")).alias("number"), value("type").alias("kind"))
+    known = said.select("title", F.lit(True).alias("there"), "header", F.when(F.col("header"), F.concat("court", "number", "kind")).alias("redirect_title"), F.expr("court = '' OR number = '' OR kind = ''").alias("empty"))
+    rows = spread(records, records.count(), "title").join(known, "title", "left")
+    early = F.when(F.col("there").isNull(), "source_page_missing").when(~F.col("header"), "header_missing").when(F.col("empty"), "required_metadata_missing").when(F.col("redirect_title") == F.col("title"), "redirect_title_matches_source_title")
     rows = rows.withColumn("early", early).withColumn("key", F.when(F.col("early").isNull(), F.col("redirect_title")))
     rows = anti_dedupe(rows, pages.select(F.col("title").alias("key")), "key", "line")
     reason = F.coalesce("early", F.when(F.col("outcome") != "new", "redirect_page_exists"))

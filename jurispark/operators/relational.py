@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jurispark.sources.shared import keep
+from jurispark.sources.shared import keep, spread
 
 #: Rows of an ordinal block.
 BLOCK = 1 << 20
@@ -69,12 +69,19 @@ def latest(df: DataFrame, key: str, order: list[Column], n: int) -> DataFrame:
 
 
 def anti_dedupe(df: DataFrame, existing: DataFrame, key: str, order: str) -> DataFrame:
-    """Adds ``outcome``: exists, duplicate of an earlier row, or new. Nulls are new."""
-    known = existing.select(key).distinct().withColumn("__known", F.lit(True))
-    first = df.groupBy(key).agg(F.min(order).alias("__first"))
-    rows = df.join(known, key, "left").join(first, key, "left")
+    """Adds ``outcome``: exists, duplicate of an earlier row, or new. Nulls are new.
+
+    Rows are written once, as they go three ways. Those without a key meet nothing and stay out of the joins, where all
+    of them would be one task's.
+    """
+    rows = keep(df)
+    keyed = rows.where(F.col(key).isNotNull())
+    n = keyed.count()
+    known = spread(existing.select(key), n, key).distinct().withColumn("__known", F.lit(True))
+    first = keyed.groupBy(key).agg(F.min(order).alias("__first"))
     outcome = F.when(F.col("__known"), "exists").when(F.col(order) > F.col("__first"), "duplicate").otherwise("new")
-    return rows.withColumn("outcome", outcome).drop("__known", "__first")
+    met = spread(keyed, n, key).join(known, key, "left").join(first, key, "left").select(*df.columns, outcome.alias("outcome"))
+    return met.unionByName(rows.where(F.col(key).isNull()).withColumn("outcome", F.lit("new")))
 
 
 def positional_join(left: DataFrame, right: DataFrame, order: str) -> DataFrame:

@@ -22,9 +22,9 @@ def _title(n):
     return F.concat(F.lit("共享标题"), n.cast("string"))
 
 
-def drafts(spark, sf_dir) -> DataFrame:
+def drafts(spark, sf_dir, key: str | None = "o_orderkey") -> DataFrame:
     """ordinal, title, wenshu_id, wikitext: three orders share a title; case numbers repeat every so often."""
-    o = table(spark, sf_dir, "orders", "o_orderkey").withColumn("n", F.floor(F.col("o_orderkey") / 3))
+    o = table(spark, sf_dir, "orders", key).withColumn("n", F.floor(F.col("o_orderkey") / 3))
     number = F.concat(F.lit("（2024）京01民初"), F.when(F.col("o_orderkey") % 7 == 0, F.col("n")).otherwise(F.col("o_orderkey")).cast("string"), F.lit("号"))
     court = F.when(F.col("o_orderkey") % 4 == 0, "上海市第一中级人民法院").otherwise("北京市第一中级人民法院")
     return o.select(F.col("o_orderkey").alias("ordinal"), _title(F.col("n")).alias("title"), F.concat(F.lit("doc-"), F.col("o_orderkey").cast("string")).alias("wenshu_id"), _page(_title(F.col("n")), court, number, F.concat(F.lit("doc-"), F.col("o_orderkey").cast("string")), F.when(F.col("o_orderkey") % 5 == 0, "张xx诉称").otherwise("原告诉称")).alias("wikitext"))
@@ -228,7 +228,7 @@ def year_repair(spark, sf_dir):
   SELECT line, CASE WHEN (p.n IS NULL) THEN 'source_page_missing' WHEN p.n % 5 > 0 THEN 'header_missing' WHEN line > min(line) OVER (PARTITION BY p.n) THEN 'redirect_page_exists' END AS reason
   FROM r LEFT JOIN (SELECT DISTINCT o_orderkey // 3 AS n FROM orders WHERE o_orderkey % 3 = 0 AND (o_orderkey // 3) % 5 < 3) p ON p.n = r.n""")
 def case_redirect_job(spark, sf_dir):
-    records = drafts(spark, sf_dir).select(F.col("ordinal").alias("line"), "title", "wenshu_id")
+    records = drafts(spark, sf_dir, key=None).select(F.col("ordinal").alias("line"), "title", "wenshu_id")
     return J.case_redirects(records, wiki_pages(spark, sf_dir)).select("line", "reason")
 
 

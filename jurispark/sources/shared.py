@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that one task of a join holds and sorts.
+SORTED = 1 << 18
 
 def shared_dir(spark: SparkSession) -> str:
     """This session's part of spark.checkpoint.dir, which goes when the session ends; in local mode without one, a temporary
@@ -34,3 +36,10 @@ def keep(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """df for a join by ``key`` whose larger side has so many rows: dealt out over parts that grow with these, where the
+    session's number of shuffle partitions would give a task more than ``SORTED`` of them."""
+    parts = -(-rows // SORTED)
+    return df.repartition(parts, key) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
