@@ -23,10 +23,11 @@ def query(name: str, sql: str | None = None):
 
 
 def parts(df: DataFrame) -> int:
-    """Over how many parts the rows of a scan are dealt out where they are costly: all cores, and more where a part would hold
-    more than ``ROWS`` rows, so that a task's work stays the same however large the table is. Rows are counted from the
-    files' footers."""
-    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS))
+    """Over how many parts the rows of a scan are dealt out where they are costly: all cores, and as often again as it takes
+    for a part to hold about ``ROWS`` rows at most, so that a task's work stays the same however large the table is. Rows
+    are counted from the files' footers."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores * max(1, -(-df.count() // (cores * ROWS)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ def test_parts_grow_with_the_rows(spark, monkeypatch):
     monkeypatch.setattr(registry, "ROWS", 100)
     for name in ("convert_route", "record_search", "masked_lists"):
         plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-        assert "RepartitionByExpression" in plan and "], 15" in plan, name
+        assert "RepartitionByExpression" in plan and "], 16" in plan, name
 
 
 def test_rows_are_dealt_out_behind_the_join(spark):
